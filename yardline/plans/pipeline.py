@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 from typing import Literal
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,9 +48,20 @@ class Run:
     warehouse_options: Mapping[str, str] = field(default_factory=dict)
     deduplicate_events: bool = False
     null_scores: Literal["count", "exclude"] = "count"
+    tables_at_once: int = 4
     metrics: RunMetrics = field(default_factory=RunMetrics)
 
 
+def together(run: Run, tasks: Iterable[Callable[[], object]]) -> None:
+    """Submit writes that do not depend on each other at the same time, so that small
+    tables fill executors a large one leaves idle."""
+    with ThreadPoolExecutor(max_workers=run.tables_at_once) as pool:
+        in_session = inheritable_thread_target(run.spark)
+        futures = [pool.submit(in_session(task)) for task in tasks]
+    for future in futures:
+        future.result()
+
+
 def with_ingestion_metadata(df: DataFrame, table: str, ingestion_date: str) -> DataFrame:
     return df.withColumns(
         {
@@ -101,9 +115,9 @@ def _quarantine(run: Run, rows: DataFrame, table: str) -> None:
     )
 
 
-def ingest(run: Run, tables: Iterable[str] | None = None) -> list[str]:
+def ingest(run: Run, tables: Iterable[str] | None = None) -> None:
     specs = [batch_table(name) for name in tables] if tables else list(BATCH_TABLES.values())
-    return [ingest_table(run, spec) for spec in specs]
+    together(run, [partial(ingest_table, run, spec) for spec in specs])
 
 
 def _write(run: Run, layer: str, table: str, df: DataFrame, sort_by: list[str]) -> None:
@@ -136,9 +150,7 @@ def _write_clean(run: Run, spec: TableSpec) -> None:
 
 
 def silver(run: Run) -> None:
-    for spec in BATCH_TABLES.values():
-        if spec.key:
-            _write_clean(run, spec)
+    together(run, [partial(_write_clean, run, s) for s in BATCH_TABLES.values() if s.key])
     spec = batch_table("alunos")
     entities = run.lake.read(run.spark, "silver", "municipio")
     groups = run.lake.read(run.spark, "silver", "uf")
@@ -178,15 +190,26 @@ def gold(run: Run) -> None:
     measures = table("silver", "alunos")
     entity_targets = table("silver", "meta_municipio")
     dimension = marts.dimension(table("silver", "municipio"), table("silver", "uf"))
-    _write(run, "gold", "dim_municipio", dimension, [N.entity])
     fact = marts.fact(measures, entity_targets)
-    _write(run, "gold", "fato_alfabetizacao", fact, [N.entity, N.segment])
     indicator = marts.indicator(marts.consolidated(measures), entity_targets)
-    _write(run, "gold", "indicador_municipio", indicator, [N.entity])
+    together(
+        run,
+        [
+            partial(_write, run, "gold", "indicador_municipio", indicator, [N.entity]),
+            partial(_write, run, "gold", "fato_alfabetizacao", fact, [N.entity, N.segment]),
+            partial(_write, run, "gold", "dim_municipio", dimension, [N.entity]),
+        ],
+    )
     total = table("gold", "indicador_municipio")
-    _write(run, "gold", "evolucao_temporal", marts.evolution(total), [N.entity])
+    evolution = marts.evolution(total)
     comparison = marts.group_comparison(total, table("silver", "meta_uf"))
-    _write(run, "gold", "comparacao_meta_uf", comparison, [N.group_code])
+    together(
+        run,
+        [
+            partial(_write, run, "gold", "evolucao_temporal", evolution, [N.entity]),
+            partial(_write, run, "gold", "comparacao_meta_uf", comparison, [N.group_code]),
+        ],
+    )
 
 
 def gold_gate(run: Run) -> None:
