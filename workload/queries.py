@@ -472,8 +472,7 @@ EVENTS_SQL = """select cast(event_id as varchar) as event_id, year, entity_id, s
 
 def _typed_events(lines: DataFrame) -> DataFrame:
     """Typed measurements of the parsable lines, with the event id beside them."""
-    events = ev.valid_events(ev.parse_lines(lines, E))
-    return typed(events, measure_spec(E), keep=["event_id"])
+    return typed(ev.valid_events(lines, E), measure_spec(E), keep=["event_id"])
 
 
 @query(sql(EVENTS_SQL, "event_rows"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -35,17 +35,27 @@ def decoded_lines(records: DataFrame, payload: str = "data") -> DataFrame:
     return records.select(decode_payload(F.col(payload).cast("string")).alias("value"))
 
 
-def parse_lines(lines: DataFrame, names: Names = DOMAIN) -> DataFrame:
-    """Event fields as text plus ``_corrupt_record``; batch or stream."""
+def _parsed(names: Names) -> Column:
     schema = T.StructType(
         [*event_schema(names).fields, T.StructField(CORRUPT, T.StringType())]
     )
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return lines.select(F.from_json("value", schema, options).alias("e")).select("e.*")
+    return F.from_json("value", schema, options)
+
+
+def parse_lines(lines: DataFrame, names: Names = DOMAIN) -> DataFrame:
+    """Event fields as text plus ``_corrupt_record``; batch or stream.
+
+    The fields come out of a generator, below which no later filter is moved, so each
+    line is parsed once however many of its fields are filtered on.
+    """
+    return lines.select(F.inline(F.array(_parsed(names))))
 
 
-def valid_events(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def valid_events(lines: DataFrame, names: Names = DOMAIN) -> DataFrame:
+    """As ``parse_lines``, without the lines that are no JSON event."""
+    good = F.filter(F.array(_parsed(names)), lambda event: event[CORRUPT].isNull())
+    return lines.select(F.inline(good)).drop(CORRUPT)
 
 
 def measurements(events: DataFrame, names: Names = DOMAIN) -> DataFrame:
@@ -95,14 +105,9 @@ def quarantine(
     trigger: Mapping = EVERY_TEN_SECONDS,
 ) -> StreamingQuery:
     """Append the lines that are no JSON event to a quarantine folder."""
-    schema = T.StructType(
-        [*event_schema(names).fields, T.StructField(CORRUPT, T.StringType())]
-    )
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    broken = F.from_json("value", schema, options)[CORRUPT]
     return (
         lines.filter(F.length(F.trim("value")) > 0)
-        .filter(broken.isNotNull())
+        .filter(_parsed(names)[CORRUPT].isNotNull())
         .select("value")
         .writeStream.format("text")
         .option("path", path)
