@@ -23,6 +23,7 @@ from yardline.operators.integrate import (
 )
 from yardline.plans import reports
 from yardline.plans.suite import gold_suite, silver_suite
+from yardline.session import materialise
 from yardline.sources.readers import with_parent
 from yardline.streaming import events as ev
 from yardline.tables import Field, entity_spec, group_spec, measure_spec, target_spec
@@ -318,7 +319,9 @@ def q_segment_compare(spark: SparkSession, folder: str) -> DataFrame:
     )
 )
 def q_feature_table(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.feature_table(t.indicator(spark, folder), t.evolution(spark, folder), YEAR, E)
+    total = materialise(t.consolidated(spark, folder), "features")
+    indicator = marts.indicator(total, t.entity_targets(spark, folder), E)
+    return reports.feature_table(indicator, marts.evolution(total, E), YEAR, E)
 
 
 @query(
@@ -453,12 +456,14 @@ SUITE_SQL = """
 
 @query(sql(SUITE_SQL, "integrated", "entities", "groups", "entity_targets", "indicator"))
 def quality_suite(spark: SparkSession, folder: str) -> DataFrame:
+    integrated = materialise(t.integrated(spark, folder), "suite")
+    targets = t.entity_targets(spark, folder)
     frames = {
         "uf": t.groups(spark, folder),
         "municipio": t.entities(spark, folder),
-        "alunos": t.integrated(spark, folder),
-        "meta_municipio": t.entity_targets(spark, folder),
-        "indicador_municipio": t.indicator(spark, folder),
+        "alunos": integrated,
+        "meta_municipio": targets,
+        "indicador_municipio": marts.indicator(marts.consolidated(integrated, E), targets, E),
     }
     return checks.check_all([*silver_suite(E), *gold_suite(E)], frames).select(*CHECK_COLUMNS)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, **conf: str) -> SparkSession:
@@ -35,3 +35,13 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="yardline-")
     return f"{shared.rstrip('/')}/yardline/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result that several branches read to the shared scratch folder, once.
+
+    Unlike cached blocks it outlives lost executors, and its lineage is one file scan.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

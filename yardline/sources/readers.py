@@ -92,8 +92,14 @@ def read_event_lines(spark: SparkSession, path: str, names: Names = DOMAIN) -> D
         return spark.createDataFrame([], schema)
 
 
-def read_states(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
-    """Nested territory JSON of states, flattened."""
+def read_states(
+    spark: SparkSession, path: str, names: Names = DOMAIN, multi_line: bool = True
+) -> DataFrame:
+    """Nested territory JSON of states, flattened.
+
+    The published file is one JSON array, which needs ``multi_line``; JSON lines do not,
+    and are split over tasks.
+    """
     nested = T.StructType(
         [
             T.StructField("id", T.IntegerType()),
@@ -110,7 +116,7 @@ def read_states(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFr
             ),
         ]
     )
-    raw = spark.read.schema(nested).option("multiLine", True).json(path)
+    raw = spark.read.schema(nested).option("multiLine", multi_line).json(path)
     return raw.select(
         F.col("id").alias(names.group),
         F.col("sigla").alias(names.group_code),
@@ -121,13 +127,17 @@ def read_states(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFr
 
 
 def read_municipalities(
-    spark: SparkSession, path: str, states: DataFrame, names: Names = DOMAIN
+    spark: SparkSession,
+    path: str,
+    states: DataFrame,
+    names: Names = DOMAIN,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Territory JSON of municipalities with the state found by the id prefix."""
     schema = T.StructType(
         [T.StructField("id", T.LongType()), T.StructField("nome", T.StringType())]
     )
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    raw = spark.read.schema(schema).option("multiLine", multi_line).json(path)
     rows = raw.select(
         F.col("id").alias(names.entity), F.col("nome").alias(names.entity_label)
     )
