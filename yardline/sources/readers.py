@@ -17,10 +17,9 @@ from yardline.functions import (
     strip_marker,
 )
 from yardline.names import DOMAIN, Names
+from yardline.operators.events import CORRUPT, parse_lines
 from yardline.sources.lake import is_missing_path
-from yardline.tables import TableSpec, event_schema
-
-CORRUPT = "_corrupt_record"
+from yardline.tables import TableSpec
 
 
 def read_seed(spark: SparkSession, spec: TableSpec, folder: str) -> DataFrame:
@@ -76,20 +75,13 @@ def read_event_lines(spark: SparkSession, path: str, names: Names = DOMAIN) -> D
 
     A missing folder is an empty stream; any other failure is raised.
     """
-    schema = T.StructType(
-        [*event_schema(names).fields, T.StructField(CORRUPT, T.StringType())]
-    )
     try:
-        return (
-            spark.read.schema(schema)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .json(path)
-        )
+        lines = spark.read.text(path)
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
-        return spark.createDataFrame([], schema)
+        lines = spark.createDataFrame([], "value string")
+    return parse_lines(lines, names)
 
 
 def read_states(

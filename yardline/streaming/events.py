@@ -4,16 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from yardline.functions import decode_payload
 from yardline.names import DOMAIN, Names
 from yardline.operators.clean import typed
-from yardline.sources.readers import CORRUPT
-from yardline.tables import INGESTION_DATE, event_schema, measure_spec
+from yardline.operators.events import (
+    filled_lines,
+    malformed_lines,
+    parse_lines,
+    valid_events,
+)
+from yardline.tables import INGESTION_DATE, measure_spec
+
+__all__ = [
+    "ALL_AVAILABLE",
+    "EVERY_TEN_SECONDS",
+    "decoded_lines",
+    "drop_redelivered",
+    "land",
+    "measurements",
+    "parse_lines",
+    "quarantine",
+    "read_lines",
+    "valid_events",
+]
 
 # A micro-batch every ten seconds.
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
@@ -35,29 +52,6 @@ def decoded_lines(records: DataFrame, payload: str = "data") -> DataFrame:
     return records.select(decode_payload(F.col(payload).cast("string")).alias("value"))
 
 
-def _parsed(names: Names) -> Column:
-    schema = T.StructType(
-        [*event_schema(names).fields, T.StructField(CORRUPT, T.StringType())]
-    )
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return F.from_json("value", schema, options)
-
-
-def parse_lines(lines: DataFrame, names: Names = DOMAIN) -> DataFrame:
-    """Event fields as text plus ``_corrupt_record``; batch or stream.
-
-    The fields come out of a generator, below which no later filter is moved, so each
-    line is parsed once however many of its fields are filtered on.
-    """
-    return lines.select(F.inline(F.array(_parsed(names))))
-
-
-def valid_events(lines: DataFrame, names: Names = DOMAIN) -> DataFrame:
-    """As ``parse_lines``, without the lines that are no JSON event."""
-    good = F.filter(F.array(_parsed(names)), lambda event: event[CORRUPT].isNull())
-    return lines.select(F.inline(good)).drop(CORRUPT)
-
-
 def measurements(events: DataFrame, names: Names = DOMAIN) -> DataFrame:
     """Typed measurements, with the rows breaking reached <= assessed counted in the
     query progress under ``event_invariant``."""
@@ -85,8 +79,8 @@ def land(
     """
     date = F.current_date() if ingestion_date is None else F.lit(ingestion_date).cast("date")
     return (
-        lines.select("value")
-        .filter(F.length(F.trim("value")) > 0)
+        filled_lines(lines)
+        .select("value")
         .withColumn(INGESTION_DATE, date)
         .writeStream.format("text")
         .option("path", path)
@@ -106,8 +100,7 @@ def quarantine(
 ) -> StreamingQuery:
     """Append the lines that are no JSON event to a quarantine folder."""
     return (
-        lines.filter(F.length(F.trim("value")) > 0)
-        .filter(_parsed(names)[CORRUPT].isNotNull())
+        malformed_lines(lines, names)
         .select("value")
         .writeStream.format("text")
         .option("path", path)
