@@ -20,7 +20,7 @@ from yardline.operators.clean import typed
 from yardline.operators.integrate import enrich, finish, grain_sums
 from yardline.operators.microdata import weighted_microdata
 from yardline.plans import catalog
-from yardline.plans.pipeline import Run, run_stages, with_ingestion_metadata
+from yardline.plans.pipeline import Run, run_stages, with_ingestion_metadata, write_snapshot
 from yardline.session import scratch_dir
 from yardline.sources import readers
 from yardline.sources.lake import Lake, write_csv, write_json_lines, write_parquet
@@ -55,7 +55,7 @@ def partition_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     for date, shift in (("2026-01-01", 0), ("2026-01-02", 9), ("2026-01-02", 1)):
         rows = orders.withColumn("o_custkey", F.col("o_custkey") + shift)
         dated = with_ingestion_metadata(rows, "orders", date)
-        write_parquet(dated, path, partition_by=[INGESTION_DATE], keep_other_partitions=True)
+        write_snapshot(dated, path)
     counts = [F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("keys")]
     newest = lake.read_newest(spark, "bronze", "orders").select(INGESTION_DATE).distinct()
     every = lake.read(spark, "bronze", "orders").groupBy(INGESTION_DATE).agg(*counts)

@@ -32,9 +32,11 @@ def to_type(col: Column, source: T.DataType, target: str) -> Column:
     Text holding a decimal number is truncated when an integer is wanted, which
     is how Spark casts text outside ANSI mode.
     """
+    plain = col.try_cast(target)
     if target in ("int", "bigint") and isinstance(source, T.StringType):
-        col = F.regexp_replace(F.trim(col), r"^([+-]?\d+)\.\d*$", "$1")
-    return col.try_cast(target)
+        whole = F.regexp_replace(F.trim(col), r"^([+-]?\d+)\.\d*$", "$1")
+        return F.coalesce(plain, whole.try_cast(target))
+    return plain
 
 
 def blank_to_null(col: Column, markers: Sequence[str] = NULL_MARKERS) -> Column:

@@ -72,6 +72,17 @@ def with_ingestion_metadata(df: DataFrame, table: str, ingestion_date: str) -> D
     )
 
 
+def write_snapshot(dated: DataFrame, path: str) -> None:
+    """Replace one ingestion date and leave the others."""
+    write_parquet(
+        dated,
+        path,
+        partition_by=[INGESTION_DATE],
+        keep_other_partitions=True,
+        rebalance=False,
+    )
+
+
 def ingest_table(run: Run, spec: TableSpec) -> str:
     """Land one source under its ingestion date; other dates stay as they are.
 
@@ -92,9 +103,7 @@ def ingest_table(run: Run, spec: TableSpec) -> str:
     counted, counts = observed(source, f"ingest {spec.name}", malformed=malformed)
     path = run.lake.path("bronze", spec.name)
     landed = with_ingestion_metadata(counted.drop(CORRUPT), spec.name, run.ingestion_date)
-    write_parquet(
-        landed, path, partition_by=[INGESTION_DATE], keep_other_partitions=True
-    )
+    write_snapshot(landed, path)
     found = counts.get
     run.metrics.add("bronze", "RecordsIngested", found["rows"], table=spec.name)
     run.metrics.add("bronze", "RecordsMalformed", found["malformed"], table=spec.name)
@@ -107,12 +116,7 @@ def _quarantine(run: Run, rows: DataFrame, table: str) -> None:
     """Keep the malformed lines whole, beside whatever could be parsed of them."""
     bad = rows.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line")
     dated = with_ingestion_metadata(bad, table, run.ingestion_date)
-    write_parquet(
-        dated,
-        run.lake.path("bronze", f"{QUARANTINE}/{table}"),
-        partition_by=[INGESTION_DATE],
-        keep_other_partitions=True,
-    )
+    write_snapshot(dated, run.lake.path("bronze", f"{QUARANTINE}/{table}"))
 
 
 def ingest(run: Run, tables: Iterable[str] | None = None) -> None:

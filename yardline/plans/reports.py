@@ -1,4 +1,8 @@
-"""Analytic reports over the Gold tables."""
+"""Analytic reports over the Gold tables.
+
+Every sort ends in a unique key: the order is the same in each run, and rows that tie in
+the leading column can be spread over the tasks of a range-partitioned sort.
+"""
 
 from __future__ import annotations
 
@@ -13,8 +17,8 @@ def year_ranking(indicator: DataFrame, year: int, n: Names = DOMAIN) -> DataFram
     """Entities of a year, best indicator first."""
     return (
         indicator.filter(F.col(n.year) == year)
+        .orderBy(F.col(n.pct).desc_nulls_last(), n.entity)
         .select(n.entity_label, n.group_code, n.pct, n.entity_target, n.gap)
-        .orderBy(F.col(n.pct).desc_nulls_last())
     )
 
 
@@ -22,12 +26,10 @@ def below_target(
     indicator: DataFrame, year: int, n: Names = DOMAIN, limit: int | None = None
 ) -> DataFrame:
     """Entities furthest below their target first; ``limit`` for a top list."""
-    rows = (
-        indicator.filter((F.col(n.year) == year) & (F.col(n.gap) < 0))
-        .select(n.entity_label, n.group_code, n.pct, n.entity_target, n.gap)
-        .orderBy(F.col(n.gap).asc())
-    )
-    return rows if limit is None else rows.limit(limit)
+    rows = indicator.filter((F.col(n.year) == year) & (F.col(n.gap) < 0)).orderBy(n.gap, n.entity)
+    if limit is not None:
+        rows = rows.limit(limit)
+    return rows.select(n.entity_label, n.group_code, n.pct, n.entity_target, n.gap)
 
 
 def group_result(comparison: DataFrame, year: int, n: Names = DOMAIN) -> DataFrame:
@@ -35,7 +37,7 @@ def group_result(comparison: DataFrame, year: int, n: Names = DOMAIN) -> DataFra
     return (
         comparison.filter(F.col(n.year) == year)
         .select(n.group_code, n.region, n.pct, n.group_target, n.met, n.gap)
-        .orderBy(F.col(n.pct).desc_nulls_last())
+        .orderBy(F.col(n.pct).desc_nulls_last(), n.group_code, n.region)
     )
 
 
@@ -43,8 +45,8 @@ def entity_series(evolution: DataFrame, label: str, n: Names = DOMAIN) -> DataFr
     """The yearly series of the entities with this name."""
     return (
         evolution.filter(F.col(n.entity_label) == label)
+        .orderBy(n.year, n.entity)
         .select(n.year, n.entity_label, n.pct, n.previous, n.change)
-        .orderBy(n.year)
     )
 
 
@@ -52,8 +54,8 @@ def segment_comparison(fact: DataFrame, year: int, n: Names = DOMAIN) -> DataFra
     """Segments of each entity side by side."""
     return (
         fact.filter(F.col(n.year) == year)
+        .orderBy(n.entity_label, n.segment, n.entity)
         .select(n.entity_label, n.group_code, n.segment, n.pct)
-        .orderBy(n.entity_label, n.segment)
     )
 
 
@@ -77,5 +79,5 @@ def regions(indicator: DataFrame, year: int | None = None, n: Names = DOMAIN) ->
     """Region summary with a total row, best region first, total last."""
     rows = indicator if year is None else indicator.filter(F.col(n.year) == year)
     return region_summary(rows, n).orderBy(
-        n.year, "is_total", F.col("mean_pct").desc_nulls_last()
+        n.year, "is_total", F.col("mean_pct").desc_nulls_last(), n.region
     )

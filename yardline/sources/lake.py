@@ -72,15 +72,18 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     keep_other_partitions: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Write a layer table.
 
     Partitioned output is rebalanced on the partition columns: small shuffle
     partitions are merged into few files and a partition value holding much of
     the table is split over many tasks, so neither small files nor one huge task
-    result. ``sort_by`` orders rows inside each file for tighter column statistics.
+    result. Rows that all go to one partition, as a dated snapshot, need no
+    rebalancing and are written where they are read. ``sort_by`` orders rows inside
+    each file for tighter column statistics.
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)

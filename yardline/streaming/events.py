@@ -111,18 +111,25 @@ def quarantine(
 
 
 def drop_redelivered(
-    events: DataFrame, delay: str, event_id: str = "event_id", event_time: str = "event_time"
+    events: DataFrame,
+    delay: str,
+    event_id: str = "event_id",
+    event_time: str = "event_time",
+    salts: int = 16,
 ) -> DataFrame:
-    """Optional streaming dedup: the first delivery of an id within ``delay``.
+    """Optional streaming dedup: one delivery of an id within ``delay``.
 
     State is bounded by the watermark. Events without an id get one of their own, so
-    they are never taken for copies of each other.
+    they are never taken for copies of each other. An id redelivered very many times is
+    first reduced per salt, over many tasks, and only those survivors meet in one.
     """
     timed = events.withColumns(
         {
             "_time": F.try_to_timestamp(event_time),
             "_id": F.coalesce(F.col(event_id), F.uuid()),
+            "_salt": F.spark_partition_id() % salts,
         }
-    )
-    kept = timed.withWatermark("_time", delay).dropDuplicatesWithinWatermark(["_id"])
-    return kept.drop("_time", "_id")
+    ).withWatermark("_time", delay)
+    spread = timed.dropDuplicatesWithinWatermark(["_id", "_salt"]) if salts > 1 else timed
+    kept = spread.dropDuplicatesWithinWatermark(["_id"])
+    return kept.drop("_time", "_id", "_salt")

@@ -65,8 +65,8 @@ def read_totals(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFr
         later = batches.filter(F.col(BATCH) > upto)
         batches = later.unionByName(snapshot.withColumn(BATCH, F.lit(upto).cast("bigint")))
     sums = [names.assessed, names.reached, SCORE_SUM, SCORE_WEIGHT]
-    newest = F.max_by(F.struct(*sums), F.col(BATCH)).alias("total")
-    return batches.groupBy(*names.grain).agg(newest).select(*names.grain, "total.*")
+    newest = [F.max_by(c, BATCH).alias(c) for c in sums]
+    return batches.groupBy(*names.grain).agg(*newest)
 
 
 def snapshot_totals(spark: SparkSession, path: str, names: Names = DOMAIN) -> int | None:
