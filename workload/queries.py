@@ -468,6 +468,14 @@ def quality_suite(spark: SparkSession, folder: str) -> DataFrame:
     return checks.check_all([*silver_suite(E), *gold_suite(E)], frames).select(*CHECK_COLUMNS)
 
 
+@query(
+    """select count(*) as rows, count(distinct (l_orderkey, l_linenumber)) as keys
+       from lineitem"""
+)
+def grain_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return checks.grain_counts(t.load(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 # --- events ---------------------------------------------------------------------------
 
 EVENTS_SQL = """select cast(event_id as varchar) as event_id, year, entity_id, segment,
@@ -660,6 +668,18 @@ def microdata_weighted(spark: SparkSession, folder: str) -> DataFrame:
     return microdata.finish_microdata(sums, E)
 
 
+@query(
+    sql(
+        """select year, cast(sum(assessed) as bigint) as assessed,
+                  count(distinct entity_id) as entities
+           from batch group by year""",
+        "batch",
+    )
+)
+def coverage_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    return microdata.coverage(t.batch(spark, folder), E)
+
+
 @query(
     sql(
         """select c_custkey + (10 + c_nationkey) * 1000000000000 as entity_id,

@@ -1,4 +1,9 @@
-"""Command line: ``python -m yardline run --root <uri> --seeds-dir <uri>``."""
+"""Command line of the layered run, event landing and source preparation.
+
+    python -m yardline run --root <uri> --seeds-dir <uri>
+    python -m yardline land --root <uri> --events <uri> --once
+    python -m yardline prepare --out <uri> --states <uri> --municipalities <uri> ...
+"""
 
 from __future__ import annotations
 
@@ -6,42 +11,93 @@ import argparse
 import datetime as dt
 import logging
 
-from yardline.plans.pipeline import STAGES, Run, run_stages
+from yardline.plans.pipeline import ALL_STAGES, STAGES, Run, run_stages
+from yardline.plans.source_prep import Inputs, prepare
 from yardline.session import build_session
 from yardline.sources.lake import Lake
+from yardline.streaming.events import (
+    ALL_AVAILABLE,
+    EVERY_TEN_SECONDS,
+    decoded_lines,
+    land,
+    read_lines,
+)
+from yardline.tables import EVENT_TABLE
+
+
+def _date(text: str) -> str:
+    return dt.date.fromisoformat(text).isoformat()
+
+
+def _year_path(text: str) -> tuple[int, str]:
+    year, _, path = text.partition("=")
+    return int(year), path
 
 
 def parser() -> argparse.ArgumentParser:
-    top = argparse.ArgumentParser(prog="yardline", description=__doc__)
-    top.add_argument("command", choices=["run", *STAGES], help="all stages, or one of them")
-    top.add_argument("--root", required=True, help="lake root, any Hadoop file-system URI")
-    top.add_argument("--table", action="append", help="batch table to ingest; may be repeated")
-    top.add_argument(
-        "--ingestion-date",
-        default=dt.datetime.now(dt.UTC).date().isoformat(),
-        type=lambda text: dt.date.fromisoformat(text).isoformat(),
+    top = argparse.ArgumentParser(
+        prog="yardline", description=__doc__, formatter_class=argparse.RawTextHelpFormatter
     )
-    top.add_argument("--seeds-dir", default="", help="folder of the source CSV files")
-    top.add_argument("--warehouse-format", help="read sources with this connector instead")
-    top.add_argument("--use-warehouse", action="store_true", help="read sources from the catalog")
-    top.add_argument("--deduplicate-events", action="store_true")
+    commands = top.add_subparsers(dest="command", required=True)
+    for name in ("run", *ALL_STAGES):
+        stage = commands.add_parser(name)
+        stage.add_argument("--root", required=True, help="lake root, any Hadoop file-system URI")
+        stage.add_argument("--table", action="append", help="batch table to ingest; repeatable")
+        today = dt.datetime.now(dt.UTC).date().isoformat()
+        stage.add_argument("--ingestion-date", default=today, type=_date)
+        stage.add_argument("--seeds-dir", default="", help="folder of the source CSV files")
+        stage.add_argument("--use-warehouse", action="store_true", help="read catalog tables")
+        stage.add_argument("--warehouse-format", help="read sources with this connector")
+        stage.add_argument("--deduplicate-events", action="store_true")
+
+    landing = commands.add_parser("land")
+    landing.add_argument("--root", required=True)
+    landing.add_argument("--events", required=True, help="folder in which event files appear")
+    landing.add_argument("--ingestion-date", type=_date, help="default: date of the micro-batch")
+    landing.add_argument("--encoded", action="store_true", help="each line is a base64 payload")
+    landing.add_argument("--max-files", type=int, help="files per micro-batch")
+    landing.add_argument("--once", action="store_true", help="land what is there and stop")
+
+    prep = commands.add_parser("prepare")
+    prep.add_argument("--out", required=True)
+    prep.add_argument("--states", required=True)
+    prep.add_argument("--municipalities", required=True)
+    for name in ("--entity-sheet", "--group-sheet", "--microdata"):
+        prep.add_argument(name, action="append", required=True, type=_year_path, metavar="YEAR=URI")
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(message)s")
     args = parser().parse_args(argv)
-    run = Run(
-        build_session(f"yardline-{args.command}"),
-        Lake(args.root),
-        args.ingestion_date,
-        seeds=args.seeds_dir,
-        use_warehouse=args.use_warehouse,
-        warehouse_format=args.warehouse_format,
-        deduplicate_events=args.deduplicate_events,
-    )
-    stages = STAGES if args.command == "run" else (args.command,)
-    run_stages(run, stages, args.table)
+    spark = build_session(f"yardline-{args.command}")
+    if args.command == "land":
+        lines = read_lines(spark, args.events, args.max_files)
+        if args.encoded:
+            lines = decoded_lines(lines, "value")
+        lake = Lake(args.root)
+        land(
+            lines,
+            lake.path("bronze", EVENT_TABLE),
+            f"{args.root.rstrip('/')}/checkpoints/{EVENT_TABLE}",
+            args.ingestion_date,
+            ALL_AVAILABLE if args.once else EVERY_TEN_SECONDS,
+        ).awaitTermination()
+    elif args.command == "prepare":
+        sheets = (dict(args.entity_sheet), dict(args.group_sheet), dict(args.microdata))
+        prepare(spark, Inputs(args.states, args.municipalities, *sheets), args.out)
+    else:
+        run = Run(
+            spark,
+            Lake(args.root),
+            args.ingestion_date,
+            seeds=args.seeds_dir,
+            use_warehouse=args.use_warehouse,
+            warehouse_format=args.warehouse_format,
+            deduplicate_events=args.deduplicate_events,
+        )
+        stages = STAGES if args.command == "run" else (args.command,)
+        run_stages(run, stages, args.table)
 
 
 if __name__ == "__main__":

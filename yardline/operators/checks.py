@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 CRITICAL = "critical"
 WARNING = "warning"
 
+CHECK_SCHEMA = "name string, passed boolean, severity string, details string, violations bigint"
+
 
 @dataclass(frozen=True)
 class Unique:
@@ -162,3 +164,11 @@ def _result(rule: Rule, violations: Column) -> Column:
         F.concat(count.cast("string"), F.lit(f" {rule.what}")).alias("details"),
         count.alias("violations"),
     )
+
+
+def grain_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows and distinct keys of a table in one pass; equal numbers mean a unique grain."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("keys")
+    )

@@ -53,3 +53,11 @@ def weighted_microdata(
 ) -> DataFrame:
     sums = weighted_sums(counted(rows), [names.year, "entity", "network"])
     return finish_microdata(sums, names, labels)
+
+
+def coverage(measures: DataFrame, names: Names = DOMAIN) -> DataFrame:
+    """Persons assessed and number of entities per year."""
+    return measures.groupBy(names.year).agg(
+        F.sum(names.assessed).alias(names.assessed),
+        F.countDistinct(names.entity).alias("entities"),
+    )

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from yardline.names import DOMAIN as N
 from yardline.operators import marts
-from yardline.operators.checks import check_all
+from yardline.operators.checks import CHECK_SCHEMA, Rule, check_all
 from yardline.operators.clean import is_rejected, newest_per_key, typed
 from yardline.operators.integrate import first_per_event, integrate
 from yardline.plans.metrics import RunMetrics, observed
-from yardline.plans.suite import gate, gold_suite, silver_suite
+from yardline.plans.suite import gold_suite, outcome, raise_on_failure, silver_suite
 from yardline.sources.lake import Lake, write_parquet
 from yardline.sources.readers import CORRUPT, read_event_lines, read_source
 from yardline.tables import (
@@ -32,6 +32,7 @@ from yardline.tables import (
 )
 
 STAGES = ("bronze", "silver", "gold")
+ALL_STAGES = (*STAGES, "quality")
 QUARANTINE = "quarentena"
 
 
@@ -178,10 +179,33 @@ def silver(run: Run) -> None:
         _quarantine(run, landed.drop(INGESTION_DATE), EVENT_TABLE)
 
 
+def _gate(run: Run, suite: list[tuple[str, list[Rule]]], tables: dict[str, str]) -> None:
+    """Check written tables, keep every result, then stop the run if a critical rule failed."""
+    frames = {name: run.lake.read(run.spark, layer, name) for name, layer in tables.items()}
+    rows = outcome(check_all(suite, frames))
+    kept = run.spark.createDataFrame(rows, CHECK_SCHEMA)
+    kept = kept.withColumns(
+        {INGESTION_DATE: F.lit(run.ingestion_date), "checked_at": F.current_timestamp()}
+    )
+    kept.write.mode("append").parquet(f"{run.lake.root.rstrip('/')}/quality_results")
+    raise_on_failure(rows)
+
+
+SILVER_CHECKED = dict.fromkeys(("uf", "municipio", "meta_municipio", "alunos"), "silver")
+GOLD_CHECKED = {"indicador_municipio": "gold"}
+
+
 def silver_gate(run: Run) -> None:
-    names = ("uf", "municipio", "meta_municipio", "alunos")
-    tables = {name: run.lake.read(run.spark, "silver", name) for name in names}
-    gate(check_all(silver_suite(), tables))
+    _gate(run, silver_suite(), SILVER_CHECKED)
+
+
+def gold_gate(run: Run) -> None:
+    _gate(run, gold_suite(), GOLD_CHECKED)
+
+
+def quality(run: Run) -> None:
+    """The whole suite over tables that are already written."""
+    _gate(run, [*silver_suite(), *gold_suite()], {**SILVER_CHECKED, **GOLD_CHECKED})
 
 
 def gold(run: Run) -> None:
@@ -216,18 +240,16 @@ def gold(run: Run) -> None:
     )
 
 
-def gold_gate(run: Run) -> None:
-    names = ("indicador_municipio",)
-    gate(check_all(gold_suite(), {n: run.lake.read(run.spark, "gold", n) for n in names}))
-
-
 def run_stages(
     run: Run, stages: Iterable[str] = STAGES, tables: Iterable[str] | None = None
 ) -> RunMetrics:
-    """Run the stages in order in one session; a failing stage ends the run."""
-    unknown = set(stages) - set(STAGES)
+    """Run the stages in order in one session; a failing stage ends the run.
+
+    Silver and gold each end with their gate; ``quality`` checks both once more.
+    """
+    unknown = set(stages) - set(ALL_STAGES)
     if unknown:
-        raise KeyError(f"unknown stage(s) {sorted(unknown)}; known: {STAGES}")
+        raise KeyError(f"unknown stage(s) {sorted(unknown)}; known: {ALL_STAGES}")
     try:
         if "bronze" in stages:
             with run.metrics.stage("bronze"):
@@ -242,6 +264,9 @@ def run_stages(
                 gold(run)
             with run.metrics.stage("gold_gate"):
                 gold_gate(run)
+        if "quality" in stages:
+            with run.metrics.stage("quality"):
+                quality(run)
     finally:
         run.metrics.save(run.spark, f"{run.lake.root.rstrip('/')}/run_metrics")
     return run.metrics

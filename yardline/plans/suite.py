@@ -60,12 +60,22 @@ def gold_suite(n: Names = DOMAIN) -> list[tuple[str, list[Rule]]]:
     return [("indicador_municipio", [InRange("gold.indicador_0_100", n.pct, 0, 100)])]
 
 
-def gate(results: DataFrame) -> list[Row]:
-    """Collect the (few) results, log each, and raise if a critical rule failed."""
+def outcome(results: DataFrame) -> list[Row]:
+    """Collect the results, one small row per rule, and log them."""
     rows = results.collect()
     for row in rows:
-        log.info("[%s] %s: %s", "ok" if row.passed else "failed", row.name, row.details)
+        log.info("[%s] %s: %s", "ok" if row.passed else "failed", row["name"], row.details)
+    return rows
+
+
+def raise_on_failure(rows: list[Row]) -> None:
+    """Raise if a critical rule failed; warnings pass."""
     failed = [row["name"] for row in rows if not row.passed and row.severity == CRITICAL]
     if failed:
         raise QualityGateError(f"critical rule(s) failed: {', '.join(sorted(failed))}")
+
+
+def gate(results: DataFrame) -> list[Row]:
+    rows = outcome(results)
+    raise_on_failure(rows)
     return rows
