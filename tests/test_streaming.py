@@ -161,5 +161,20 @@ def test_event_files_are_appended_by_date(spark, tmp_path):
     assert back.groupBy("ingestion_date").count().count() == 2
 
 
-def test_missing_folder_is_empty_but_other_errors_are_raised(spark, tmp_path):
+def test_files_of_other_writers_beside_a_landing_stream_are_read(spark, tmp_path):
+    out = str(tmp_path / "out")
+    drop(tmp_path / "in", "a.json", [event(1)])
+    lines = ev.read_lines(spark, str(tmp_path / "in"))
+    finished(ev.land(lines, out, str(tmp_path / "mark"), "2026-01-05", ev.ALL_AVAILABLE))
+    given = spark.createDataFrame([(event(2),)], "value string")
+    write_json_lines(ev.valid_events(given), out, "2026-01-06")
+    drop(tmp_path / "out" / "ingestion_date=2026-01-05", "events-x.jsonl", [event(3)])
+    (tmp_path / "out" / "ingestion_date=2026-01-05" / "part-left-over.txt").write_text(event(4))
+    assert rows(read_event_lines(spark, out), "event_id") == [("e1",), ("e2",), ("e3",)]
+
+
+def test_missing_folder_and_no_batches_are_empty(spark, tmp_path):
     assert read_event_lines(spark, str(tmp_path / "none")).count() == 0
+    empty = totals.read_totals(spark, str(tmp_path / "none"))
+    assert empty.count() == 0 and "batch_id" not in empty.columns
+    assert totals.snapshot_totals(spark, str(tmp_path / "none")) is None

@@ -20,10 +20,10 @@ from yardline.operators.clean import typed
 from yardline.operators.integrate import enrich, finish, grain_sums
 from yardline.operators.microdata import weighted_microdata
 from yardline.plans import catalog
-from yardline.plans.pipeline import Run, run_stages, with_ingestion_metadata, write_snapshot
+from yardline.plans.pipeline import Run, run_stages, with_ingestion_metadata
 from yardline.session import scratch_dir
 from yardline.sources import readers
-from yardline.sources.lake import Lake, write_csv, write_json_lines, write_parquet
+from yardline.sources.lake import Lake, write_csv, write_json_lines, write_parquet, write_snapshot
 from yardline.streaming import events as ev
 from yardline.streaming import totals
 from yardline.tables import EVENT_TABLE, INGESTED_AT, INGESTION_DATE, entity_spec, measure_spec
@@ -36,9 +36,12 @@ from yardline.tables import EVENT_TABLE, INGESTED_AT, INGESTION_DATE, entity_spe
               'orders' as source_table from orders"""
 )
 def bronze_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders landed as a dated snapshot and read back with the technical columns."""
+    lake = Lake(scratch_dir(spark, "bronze"))
     orders = t.load(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    rows = with_ingestion_metadata(orders, "orders", "2026-01-05").drop(INGESTED_AT)
-    return rows.withColumn(INGESTION_DATE, F.col(INGESTION_DATE).cast("date"))
+    landed = with_ingestion_metadata(orders, "orders")
+    write_snapshot(landed, lake.path("bronze", "orders"), "2026-01-05")
+    return lake.read_newest(spark, "bronze", "orders").drop(INGESTED_AT)
 
 
 @query(
@@ -54,8 +57,7 @@ def partition_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     orders = t.load(spark, folder, "orders")
     for date, shift in (("2026-01-01", 0), ("2026-01-02", 9), ("2026-01-02", 1)):
         rows = orders.withColumn("o_custkey", F.col("o_custkey") + shift)
-        dated = with_ingestion_metadata(rows, "orders", date)
-        write_snapshot(dated, path)
+        write_snapshot(with_ingestion_metadata(rows, "orders"), path, date)
     counts = [F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("keys")]
     newest = lake.read_newest(spark, "bronze", "orders").select(INGESTION_DATE).distinct()
     every = lake.read(spark, "bronze", "orders").groupBy(INGESTION_DATE).agg(*counts)

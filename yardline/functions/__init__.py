@@ -8,6 +8,7 @@ from yardline.functions.text import (
     id_prefix,
     normalise,
     parse_number,
+    plain_number,
     strip_marker,
     to_type,
 )
@@ -22,6 +23,7 @@ __all__ = [
     "normalise",
     "parse_number",
     "percentage",
+    "plain_number",
     "strip_marker",
     "to_type",
     "weighted_mean",

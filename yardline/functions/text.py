@@ -43,12 +43,17 @@ def blank_to_null(col: Column, markers: Sequence[str] = NULL_MARKERS) -> Column:
     return F.when(~F.btrim(col, F.lit(_SPACE)).isin(*markers), col)
 
 
-def parse_number(col: Column) -> Column:
-    """A number written as text, maybe with a ``>`` marker; anything else is NULL."""
-    text = F.btrim(F.translate(col, ">", ""), F.lit(_SPACE))
+def plain_number(col: Column) -> Column:
+    """A number written as text; anything else is NULL."""
+    text = F.btrim(col, F.lit(_SPACE))
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def parse_number(col: Column) -> Column:
+    """As ``plain_number``, with ``>`` markers left out first."""
+    return plain_number(F.translate(col, ">", ""))
+
+
 def strip_marker(col: Column, marker: str = "*", default: str | None = None) -> Column:
     """Remove a footnote marker; ``default`` stands in for a missing code."""
     known = col if default is None else F.coalesce(col, F.lit(default))

@@ -19,7 +19,7 @@ from yardline.operators.clean import is_rejected, newest_per_key, typed
 from yardline.operators.integrate import first_per_event, integrate
 from yardline.plans.metrics import RunMetrics, observed
 from yardline.plans.suite import gold_suite, outcome, raise_on_failure, silver_suite
-from yardline.sources.lake import Lake, write_parquet
+from yardline.sources.lake import Lake, write_parquet, write_snapshot
 from yardline.sources.readers import CORRUPT, read_event_lines, read_source
 from yardline.tables import (
     BATCH_TABLES,
@@ -63,25 +63,9 @@ def together(run: Run, tasks: Iterable[Callable[[], object]]) -> None:
         future.result()
 
 
-def with_ingestion_metadata(df: DataFrame, table: str, ingestion_date: str) -> DataFrame:
-    return df.withColumns(
-        {
-            INGESTION_DATE: F.lit(ingestion_date),
-            INGESTED_AT: F.current_timestamp(),
-            SOURCE_TABLE: F.lit(table),
-        }
-    )
-
-
-def write_snapshot(dated: DataFrame, path: str) -> None:
-    """Replace one ingestion date and leave the others."""
-    write_parquet(
-        dated,
-        path,
-        partition_by=[INGESTION_DATE],
-        keep_other_partitions=True,
-        rebalance=False,
-    )
+def with_ingestion_metadata(df: DataFrame, table: str) -> DataFrame:
+    """Time and name of the ingest; its date is the folder the rows are written to."""
+    return df.withColumns({INGESTED_AT: F.current_timestamp(), SOURCE_TABLE: F.lit(table)})
 
 
 def ingest_table(run: Run, spec: TableSpec) -> str:
@@ -103,8 +87,8 @@ def ingest_table(run: Run, spec: TableSpec) -> str:
     malformed = F.count_if(F.col(CORRUPT).isNotNull())
     counted, counts = observed(source, f"ingest {spec.name}", malformed=malformed)
     path = run.lake.path("bronze", spec.name)
-    landed = with_ingestion_metadata(counted.drop(CORRUPT), spec.name, run.ingestion_date)
-    write_snapshot(landed, path)
+    landed = with_ingestion_metadata(counted.drop(CORRUPT), spec.name)
+    write_snapshot(landed, path, run.ingestion_date)
     found = counts.get
     run.metrics.add("bronze", "RecordsIngested", found["rows"], table=spec.name)
     run.metrics.add("bronze", "RecordsMalformed", found["malformed"], table=spec.name)
@@ -116,8 +100,8 @@ def ingest_table(run: Run, spec: TableSpec) -> str:
 def _quarantine(run: Run, rows: DataFrame, table: str) -> None:
     """Keep the malformed lines whole, beside whatever could be parsed of them."""
     bad = rows.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line")
-    dated = with_ingestion_metadata(bad, table, run.ingestion_date)
-    write_snapshot(dated, run.lake.path("bronze", f"{QUARANTINE}/{table}"))
+    path = run.lake.path("bronze", f"{QUARANTINE}/{table}")
+    write_snapshot(with_ingestion_metadata(bad, table), path, run.ingestion_date)
 
 
 def ingest(run: Run, tables: Iterable[str] | None = None) -> None:

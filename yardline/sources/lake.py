@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,18 +71,16 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     keep_other_partitions: bool = False,
-    rebalance: bool = True,
 ) -> None:
     """Write a layer table.
 
     Partitioned output is rebalanced on the partition columns: small shuffle
     partitions are merged into few files and a partition value holding much of
     the table is split over many tasks, so neither small files nor one huge task
-    result. Rows that all go to one partition, as a dated snapshot, need no
-    rebalancing and are written where they are read. ``sort_by`` orders rows inside
-    each file for tighter column statistics.
+    result. ``sort_by`` orders rows inside each file for tighter column statistics.
+    ``keep_other_partitions`` replaces only the partitions present in ``df``.
     """
-    if partition_by and rebalance:
+    if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
@@ -97,6 +94,14 @@ def write_parquet(
     writer.parquet(path)
 
 
+def write_snapshot(df: DataFrame, path: str, ingestion_date: str) -> None:
+    """Replace one dated snapshot, be it empty, and leave the other dates.
+
+    All rows go to one folder, so they are written by the tasks that read them.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/{INGESTION_DATE}={ingestion_date}")
+
+
 def write_csv(
     df: DataFrame, path: str, columns: Sequence[str], order_by: Sequence[str] = ()
 ) -> None:
@@ -111,7 +116,3 @@ def write_json_lines(df: DataFrame, path: str, ingestion_date: str) -> None:
     """Append events below their ingestion date."""
     dated = df.withColumn(INGESTION_DATE, F.lit(ingestion_date))
     dated.write.mode("append").partitionBy(INGESTION_DATE).json(path)
-
-
-def is_missing_path(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,13 +12,15 @@ from pyspark.sql import types as T
 from yardline.functions import (
     blank_to_null,
     id_prefix,
-    parse_number,
+    plain_number,
     strip_marker,
 )
 from yardline.names import DOMAIN, Names
 from yardline.operators.events import CORRUPT, parse_lines
-from yardline.sources.lake import is_missing_path
-from yardline.tables import TableSpec
+from yardline.sources.lake import child_names
+from yardline.tables import INGESTION_DATE, TableSpec
+
+_DATED = f"{INGESTION_DATE}="
 
 
 def read_seed(spark: SparkSession, spec: TableSpec, folder: str) -> DataFrame:
@@ -73,14 +74,19 @@ def read_source(
 def read_event_lines(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
     """Landed events of all dates, fields as text, unparsable lines in ``_corrupt_record``.
 
-    A missing folder is an empty stream; any other failure is raised.
+    A missing folder is an empty stream; any other failure is raised. Where a landing
+    stream keeps its log in the folder, the log names the stream's own files, so that
+    leftovers of a failed attempt do not count; JSON files put beside them by other
+    writers are read as well.
     """
-    try:
-        lines = spark.read.text(path)
-    except AnalysisException as error:
-        if not is_missing_path(error):
-            raise
-        lines = spark.createDataFrame([], "value string")
+    children = child_names(spark, path)
+    if children is None:
+        return parse_lines(spark.createDataFrame([], "value string"), names)
+    lines = spark.read.text(path)
+    if "_spark_metadata" in children and any(c.startswith(_DATED) for c in children):
+        reader = spark.read.option("basePath", path).option("pathGlobFilter", "*.json*")
+        beside = reader.text(f"{path}/{_DATED}*")
+        lines = lines.unionByName(beside, allowMissingColumns=True)
     return parse_lines(lines, names)
 
 
@@ -172,7 +178,7 @@ def read_text_table(
 def read_entity_sheet(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
     """Wide target sheet by municipality, exported as CSV."""
     sheet = read_text_table(spark, path)
-    key = parse_number(F.col("CO_MUNICIPIO")).try_cast("bigint")
+    key = plain_number(F.col("CO_MUNICIPIO")).try_cast("bigint")
     return sheet.withColumn(names.entity, key).dropna(subset=[names.entity])
 
 
@@ -205,7 +211,7 @@ def read_microdata(
     for year, path in sorted(files.items()):
         raw = read_text_table(spark, path, sep=";", encoding="ISO-8859-1")
         columns = [
-            parse_number(F.col(source)).try_cast(_MICRODATA_TYPES.get(role, "double")).alias(role)
+            plain_number(F.col(source)).try_cast(_MICRODATA_TYPES.get(role, "double")).alias(role)
             for source, role in MICRODATA_COLUMNS.items()
         ]
         parts.append(raw.select(F.lit(year).alias(names.year), *columns))

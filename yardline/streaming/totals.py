@@ -58,6 +58,8 @@ def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
 
 def read_totals(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
     """The latest total of every key: newest snapshot and the batches after it."""
+    if child_names(spark, f"{path}/batches") is None:
+        return spark.createDataFrame([], _schema(names)).drop(BATCH)
     batches = spark.read.schema(_schema(names)).parquet(f"{path}/batches")
     upto = max(_numbers(spark, f"{path}/snapshots", "upto="), default=None)
     if upto is not None:
