@@ -111,6 +111,8 @@ def test_running_sums_with_restart_snapshot_and_invariant(spark, tmp_path):
         return rows(totals.read_totals(spark, out), "id_municipio", "qtd_avaliados", "qtd_alfabetizados")
 
     assert sums() == [(7, 9, 9), (3550308, 12, 10)]
+    for batch in (tmp_path / "out" / "batches").iterdir():
+        assert len(list(batch.glob("part-*"))) == 1
     upto = totals.snapshot_totals(spark, out)
     assert sums() == [(7, 9, 9), (3550308, 12, 10)]
     drop(source, "c.json", [event(4, 1, 1)])
@@ -178,3 +180,17 @@ def test_missing_folder_and_no_batches_are_empty(spark, tmp_path):
     empty = totals.read_totals(spark, str(tmp_path / "none"))
     assert empty.count() == 0 and "batch_id" not in empty.columns
     assert totals.snapshot_totals(spark, str(tmp_path / "none")) is None
+
+
+def test_landing_by_processing_time(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    drop(source, "a.json", [event(1)])
+    lines = ev.read_lines(spark, str(source))
+    query = ev.land(lines, out, str(tmp_path / "mark"), "2026-01-05", {"processingTime": "1 second"})
+    try:
+        query.processAllAvailable()
+        drop(source, "b.json", [event(2)])
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(read_event_lines(spark, out), "event_id") == [("e1",), ("e2",)]

@@ -394,6 +394,32 @@ def layered_run_evolution(spark: SparkSession, folder: str) -> DataFrame:
     return _layered_run(spark, folder).lake.read(spark, "gold", "evolucao_temporal")
 
 
+@query(
+    _run_sql(
+        """select i.year as ano, i.entity_id as id_municipio, i.region_name as nome_regiao,
+                  i.indicator_pct as indicador_pct, entity_target as meta_municipio,
+                  gap_pp as gap_meta_pp, change_pp as variacao_pp
+           from indicator i join evolution e on i.year = e.year and i.entity_id = e.entity_id
+           where i.year = 1997""",
+        "indicator",
+        "evolution",
+    )
+)
+def layered_run_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over the registered Gold tables; the year prunes both to one partition."""
+    database = f"gold_{uuid.uuid4().hex[:8]}"
+    catalog.register(spark, _layered_run(spark, folder).lake, "gold", database)
+    return spark.sql(
+        f"""
+        select m.ano, m.id_municipio, m.nome_regiao, m.indicador_pct, m.meta_municipio,
+               m.gap_meta_pp, s.variacao_pp
+        from {database}.indicador_municipio m
+        left join {database}.evolucao_temporal s using (ano, id_municipio)
+        where m.ano = 1997
+        """
+    )
+
+
 @query(
     _run_sql(
         """select layer as stage, name as "table", cast(n as double) as value from (

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from yardline.names import DOMAIN, Names
 from yardline.sources.lake import Lake, child_names
+from yardline.tables import BATCH_TABLES, EVENT_TABLE, INGESTION_DATE, event_schema
 
 LAYER_TABLES = {
+    "bronze": (*BATCH_TABLES, EVENT_TABLE),
     "silver": ("uf", "municipio", "meta_brasil", "meta_uf", "meta_municipio", "alunos"),
     "gold": (
         "dim_municipio",
@@ -24,8 +27,12 @@ def register(
     layer: str,
     database: str | None = None,
     tables: tuple[str, ...] | None = None,
+    names: Names = DOMAIN,
 ) -> list[str]:
-    """Create an external table per dataset of a layer and load its partitions."""
+    """Create an external table per dataset of a layer and load its partitions.
+
+    Landed events are a table of JSON lines with their fields as text.
+    """
     database = database or layer
     base = lake.path(layer, "").rstrip("/")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{base}'")
@@ -37,7 +44,14 @@ def register(
             continue
         name = f"`{database}`.`{table}`"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+        if table == EVENT_TABLE:
+            fields = ", ".join(f"`{f}` string" for f in event_schema(names).names)
+            spark.sql(
+                f"CREATE TABLE {name} ({fields}, {INGESTION_DATE} date) USING json "
+                f"PARTITIONED BY ({INGESTION_DATE}) LOCATION '{path}'"
+            )
+        else:
+            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
         if any("=" in child for child in children):
             spark.sql(f"MSCK REPAIR TABLE {name}")
         registered.append(f"{database}.{table}")

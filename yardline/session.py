@@ -30,10 +30,13 @@ def build_session(app: str, **conf: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared checkpoint folder the session names.
 
-    Only when the session names none (tests on one machine) is a local
-    temporary folder used.
+    Only a session on one machine may do without; it gets a local temporary folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="yardline-")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="yardline-")
     return f"{shared.rstrip('/')}/yardline/{purpose}-{uuid.uuid4().hex}"
 
 
