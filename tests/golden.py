@@ -1,5 +1,6 @@
 """The golden fixture: two cities, two years, one streamed event."""
 
+# The published fixture rows, which the expected results belong to.
 UF = [(35, "SP", "Sao Paulo", 3, "Sudeste"), (33, "RJ", "Rio de Janeiro", 3, "Sudeste")]
 MUNICIPIO = [(3550308, "Sao Paulo", "SP", 35), (3304557, "Rio de Janeiro", "RJ", 33)]
 META_BRASIL = [(2024, 54.0), (2025, 60.0)]

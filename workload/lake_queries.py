@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import dataclasses
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +21,16 @@ from yardline.operators.clean import typed
 from yardline.operators.integrate import enrich, finish, grain_sums
 from yardline.operators.microdata import weighted_microdata
 from yardline.plans import catalog
-from yardline.plans.pipeline import Run, run_stages, with_ingestion_metadata
+from yardline.plans.pipeline import (
+    QUARANTINE,
+    Run,
+    run_stages,
+    together,
+    with_ingestion_metadata,
+)
 from yardline.session import scratch_dir
 from yardline.sources import readers
-from yardline.sources.lake import Lake, write_csv, write_json_lines, write_parquet, write_snapshot
+from yardline.sources.lake import Lake, write_csv, write_parquet, write_snapshot
 from yardline.streaming import events as ev
 from yardline.streaming import totals
 from yardline.tables import EVENT_TABLE, INGESTED_AT, INGESTION_DATE, entity_spec, measure_spec
@@ -345,19 +352,22 @@ def _layered_run(spark: SparkSession, folder: str) -> Run:
         "meta_municipio": t.entity_targets(spark, folder),
         "alunos": t.batch(spark, folder),
     }
+    run = Run(spark, lake, "2026-01-05", seeds)
+    exports = []
     for name, rows in sources.items():
         rows = rows.withColumnsRenamed(renamed)
-        write_csv(rows, f"{seeds}/{name}.csv", rows.columns)
-    lines = t.event_lines(spark, folder, DOMAIN)
-    parsed = ev.valid_events(lines, DOMAIN)
-    write_json_lines(parsed, lake.path("bronze", EVENT_TABLE), "2026-01-05")
-    run = Run(spark, lake, "2026-01-05", seeds)
+        exports.append(partial(write_csv, rows, f"{seeds}/{name}.csv", rows.columns))
+    events = lake.path("bronze", EVENT_TABLE)
+    exports.append(
+        partial(t.event_lines(spark, folder, DOMAIN).write.text, f"{events}/ingestion_date=2026-01-05")
+    )
+    together(run, exports)
     run_stages(run)
     _RUNS[key] = run
     return run
 
 
-# Only whole events reach the run, so its stream lacks those cut short.
+# Lines cut short are no events: the run counts them and keeps them apart.
 _WHOLE_EVENTS = {"stream": t.SQL["stream"] + " where event_type <> 'view'"}
 
 
@@ -394,6 +404,14 @@ def layered_run_evolution(spark: SparkSession, folder: str) -> DataFrame:
     return _layered_run(spark, folder).lake.read(spark, "gold", "evolucao_temporal")
 
 
+@query("select count(*) as lines, 20 as longest from events where event_type = 'view'")
+def layered_run_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Event lines the run set apart, kept whole."""
+    lake = _layered_run(spark, folder).lake
+    kept = lake.read_newest(spark, "bronze", f"{QUARANTINE}/{EVENT_TABLE}")
+    return kept.agg(F.count(F.lit(1)).alias("lines"), F.max(F.length("line")).alias("longest"))
+
+
 @query(
     _run_sql(
         """select i.year as ano, i.entity_id as id_municipio, i.region_name as nome_regiao,

@@ -8,6 +8,7 @@ from yardline.names import DOMAIN, Names
 from yardline.sources.lake import Lake, child_names
 from yardline.tables import BATCH_TABLES, EVENT_TABLE, INGESTION_DATE, event_schema
 
+# Published tables of the layers.
 LAYER_TABLES = {
     "bronze": (*BATCH_TABLES, EVENT_TABLE),
     "silver": ("uf", "municipio", "meta_brasil", "meta_uf", "meta_municipio", "alunos"),

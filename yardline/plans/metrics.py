@@ -29,6 +29,7 @@ class RunMetrics:
     @contextmanager
     def stage(self, name: str) -> Iterator[None]:
         """Record duration and outcome; a failure is recorded and passed on."""
+        # Published metric names.
         start = time.monotonic()
         outcome = "StageFailure"
         try:

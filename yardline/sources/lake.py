@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from yardline.tables import INGESTION_DATE
 
+# The layers.
 LAYERS = ("bronze", "silver", "gold")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from yardline.names import DOMAIN, Names
 
+# Technical columns of landed tables.
 INGESTION_DATE = "ingestion_date"
 INGESTED_AT = "ingested_at"
 SOURCE_TABLE = "source_table"
@@ -125,6 +126,7 @@ BATCH_TABLES: dict[str, TableSpec] = {
     )
 }
 
+# Table and envelope of the landed events.
 EVENT_TABLE = "alunos_streaming"
 EVENT_ENVELOPE = ("event_id", "event_time", "event_type")
 
