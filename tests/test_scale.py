@@ -114,6 +114,15 @@ def test_scan_reads_only_used_columns(spark):
     assert "ReadSchema: struct<l_linenumber:int,l_quantity:double>" in checked
 
 
+@needs_data
+def test_key_filters_reach_the_scan(spark):
+    events = t.load(spark, DATA, "events").selectExpr(
+        "2024 as year", "user_id as entity_id", "event_type as segment", "event_id as assessed",
+        "event_id as reached", "value as mean_score",
+    )
+    assert "PushedFilters: [IsNotNull(user_id), IsNotNull(event_type)]" in plan(grain_sums(events, t.E))
+
+
 @needs_data
 def test_entity_window_and_totals_reuse_the_join_partitioning(spark):
     """Totals and year-over-year change add no shuffle to the enriched grain."""

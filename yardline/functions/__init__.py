@@ -1,6 +1,6 @@
 """Column expressions shared by the operators. All are built-in Spark expressions."""
 
-from yardline.functions.measures import gap, met_target, percentage, weighted_mean
+from yardline.functions.measures import all_present, gap, met_target, percentage, weighted_mean
 from yardline.functions.text import (
     blank_to_null,
     code_label,
@@ -14,6 +14,7 @@ from yardline.functions.text import (
 )
 
 __all__ = [
+    "all_present",
     "blank_to_null",
     "code_label",
     "decode_payload",

@@ -7,7 +7,7 @@ from typing import Literal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from yardline.functions import percentage, weighted_mean
+from yardline.functions import all_present, percentage, weighted_mean
 from yardline.names import DOMAIN, Names
 
 SCORE_SUM = "score_sum"
@@ -23,7 +23,7 @@ def grain_sums(measures: DataFrame, names: Names = DOMAIN) -> DataFrame:
     """Sums per year x entity x segment. Sums compose, so parts may be added later."""
     score, weight = F.col(names.score), F.col(names.assessed)
     return (
-        measures.dropna(subset=names.grain)
+        measures.filter(all_present(names.grain))
         .groupBy(*names.grain)
         .agg(
             F.sum(names.assessed).alias(names.assessed),

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yardline.functions import code_label
+from yardline.functions import all_present, code_label
 from yardline.functions.text import NETWORKS
 from yardline.names import DOMAIN, Names
 
@@ -15,7 +15,7 @@ from yardline.names import DOMAIN, Names
 def counted(rows: DataFrame) -> DataFrame:
     """Present with a filled test, and with entity and network known."""
     taken = (F.col("present") == 1) & (F.col("filled") == 1)
-    return rows.filter(taken).dropna(subset=["entity", "network"])
+    return rows.filter(taken & all_present(["entity", "network"]))
 
 
 def weighted_sums(rows: DataFrame, by: list[str]) -> DataFrame:

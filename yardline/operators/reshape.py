@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from yardline.functions import parse_number
+from yardline.functions import all_present, parse_number
 from yardline.names import DOMAIN, Names
 
 # Fixed value: name of a yearly target column of a wide sheet.
@@ -53,7 +53,7 @@ def reconcile(rows: DataFrame, key: str, names: Names = DOMAIN) -> DataFrame:
     shuffle on the unit serves all the windows.
     """
     year, version, value = F.col(names.year), F.col(VERSION), F.col(names.target)
-    one_value = rows.dropna(subset=[key]).groupBy(key, VERSION, names.year).agg(
+    one_value = rows.filter(all_present([key])).groupBy(key, VERSION, names.year).agg(
         F.count(F.lit(1)).alias("_copies"), F.max(names.target).alias(names.target)
     )
     message = F.concat(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardline.functions import (
+    all_present,
     blank_to_null,
     id_prefix,
     plain_number,
@@ -179,7 +180,7 @@ def read_entity_sheet(spark: SparkSession, path: str, names: Names = DOMAIN) ->
     """Wide target sheet by municipality, exported as CSV."""
     sheet = read_text_table(spark, path)
     key = plain_number(F.col("CO_MUNICIPIO")).try_cast("bigint")
-    return sheet.withColumn(names.entity, key).dropna(subset=[names.entity])
+    return sheet.withColumn(names.entity, key).filter(all_present([names.entity]))
 
 
 def read_group_sheet(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
