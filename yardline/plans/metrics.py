@@ -52,7 +52,11 @@ class RunMetrics:
 
 
 def observed(df: DataFrame, name: str, **columns: Column) -> tuple[DataFrame, Observation]:
-    """Count rows (and more) while they are written, without a second job."""
+    """Count rows (and more) on the way to a write, without a second job.
+
+    Counts taken before a shuffle may include rows of map tasks that ran twice; they are
+    for watching, and only ask whether there is anything to set apart.
+    """
     observation = Observation(name)
     counts = [F.count(F.lit(1)).alias("rows")]
     counts += [column.alias(key) for key, column in columns.items()]

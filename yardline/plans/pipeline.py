@@ -9,7 +9,7 @@ from functools import partial
 from typing import Literal
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from yardline.names import DOMAIN as N
@@ -112,9 +112,9 @@ def ingest(run: Run, tables: Iterable[str] | None = None) -> None:
 def _write(run: Run, layer: str, table: str, df: DataFrame, sort_by: list[str]) -> None:
     partition = [N.year] if N.year in df.columns else []
     order = [c for c in sort_by if c not in partition]
-    counted, counts = observed(df, f"{layer} {table}")
+    counts = Observation(f"{layer} {table}")
     path = run.lake.path(layer, table)
-    write_parquet(counted, path, partition_by=partition, sort_by=order)
+    write_parquet(df, path, partition_by=partition, sort_by=order, count_into=counts)
     run.metrics.add(layer, "RecordsWritten", counts.get["rows"], table=table)
 
 

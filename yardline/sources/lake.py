@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +72,7 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     keep_other_partitions: bool = False,
+    count_into: Observation | None = None,
 ) -> None:
     """Write a layer table.
 
@@ -80,11 +81,15 @@ def write_parquet(
     the table is split over many tasks, so neither small files nor one huge task
     result. ``sort_by`` orders rows inside each file for tighter column statistics.
     ``keep_other_partitions`` replaces only the partitions present in ``df``.
+    ``count_into`` takes the number of rows, counted by the writing tasks: unlike a count
+    before a shuffle it stays right when a lost executor's map tasks run again.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
+    if count_into is not None:
+        df = df.observe(count_into, F.count(F.lit(1)).alias("rows"))
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
