@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from yardline.llm import quality_rules
+from yardline.llm import bpe, quality_rules, token_files
 from yardline.llm.text import read_table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality_rules.score_rules(read_table(spark, folder, "documents").select("doc_id", "text"))
@@ -16,8 +19,20 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return bpe.encode(docs, public_tokenizers.path(TOKENIZER), with_ids=False)
+
+
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return token_files.with_checksums(token_files.write_and_read(docs, public_tokenizers.path(TOKENIZER)))
+
+
 QUERIES = {
     "op6_quality_rules": op6_quality_rules,
+    "op9_bpe": op9_bpe,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLES: dict[str, str] = {}
