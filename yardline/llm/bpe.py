@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yardline.llm.pretokens import WordTable, encode_texts
+from yardline.llm.text import map_batches
 
 #: Rank that no merge has.
 NEVER = 1 << 30
@@ -225,7 +226,7 @@ def encode(
                 names.append("decoded")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("string")), run, schema)
 
 
 def decode_texts(path: str) -> Callable[[list[np.ndarray]], list[str]]:

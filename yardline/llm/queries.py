@@ -5,12 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from yardline.llm import bpe, quality_rules, token_files
+from yardline.llm import bpe, near_dup, quality_rules, token_files
 from yardline.llm.text import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(read_table(spark, folder, "documents"), words=2)
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality_rules.score_rules(read_table(spark, folder, "documents").select("doc_id", "text"))
     return scored.select(
@@ -30,6 +34,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_quality_rules": op6_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_token_files": op10_token_files,

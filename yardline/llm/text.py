@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import yardline
 from yardline.session import materialise, scratch_dir
 
-__all__ = ["SEPARATORS", "materialise", "read_table", "scratch_dir", "temp_name", "words"]
+__all__ = ["SEPARATORS", "map_batches", "materialise", "read_table", "scratch_dir", "temp_name", "words"]
 
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
@@ -30,3 +36,31 @@ def words(text: Column) -> Column:
 def temp_name(stem: str) -> str:
     """A column name that input columns do not clash with."""
     return f"__{stem}_{uuid.uuid4().hex[:8]}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's modules to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(yardline.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="yardline-"), "yardline.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.join("yardline", os.path.relpath(path, root)))
+    context.addPyFile(target)
+    _shipped.add(context.applicationId)
+
+
+def map_batches(
+    frame: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship_package(frame.sparkSession)
+    return frame.mapInArrow(run, schema)

@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from yardline.llm.bpe import byte_alphabet
 from yardline.llm.pretokens import WordTable, encode_texts
-from yardline.llm.text import scratch_dir
+from yardline.llm.text import map_batches, scratch_dir
 
 END_ID = 2
 STRIPE_BYTES = 64 << 20
@@ -100,7 +100,7 @@ def write_tokens(
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = chosen.repartitionByRange(parts, F.col(f"`{key}`")).sortWithinPartitions(f"`{key}`", "__text")
     (
-        ordered.mapInArrow(run, schema)
+        map_batches(ordered, run, schema)
         .write.option("orc.compress", "ZSTD")
         .option("orc.stripe.size", str(stripe_bytes))
         .option("orc.row.index.stride", str(index_rows))
@@ -149,9 +149,8 @@ def with_checksums(tokens: DataFrame, *, key: str = "doc_id") -> DataFrame:
                 names=[key, "start", "n_tokens", "ids_crc32"],
             )
 
-    return tokens.select(f"`{key}`", "start", "n_tokens", "ids").mapInArrow(
-        run, f"`{key}` {kind}, start bigint, n_tokens bigint, ids_crc32 bigint"
-    )
+    chosen = tokens.select(f"`{key}`", "start", "n_tokens", "ids")
+    return map_batches(chosen, run, f"`{key}` {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def write_and_read(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
