@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from yardline.llm import bpe, near_dup, quality_rules, token_files
+from yardline.llm import bpe, near_dup, quality_rules, suffix_dedup, token_files
 from yardline.llm.text import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,6 +23,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs)
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return bpe.encode(docs, public_tokenizers.path(TOKENIZER), with_ids=False)
@@ -36,6 +42,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
     "op6_quality_rules": op6_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_bpe": op9_bpe,
     "op10_token_files": op10_token_files,
 }
