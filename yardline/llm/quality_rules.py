@@ -163,27 +163,24 @@ def score_rules(
         })
         .withColumn("placed", _placed(F.col("window")))
     )
-    measured = split.select(
-        "row",
-        F.col("n").cast("long").alias("n_words"),
-        _dense(body).cast("long").alias("word_chars"),
-        (F.char_length("body") - F.char_length(_without(body, SYMBOLS))).cast("long").alias("n_symbols"),
-        (F.size("wordy") - F.size(F.array_distinct("wordy"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("placed")).cast("long").alias("n_repeat_words"),
-        F.coalesce(F.size(F.filter("fails", lambda x: x)), F.lit(0)).cast("long").alias("n_failed_lines"),
-        "cleaned",
-        F.when(F.col("cleaned") == body, F.lit(0)).otherwise(_dense(body) - _dense(F.col("cleaned")))
-        .cast("long").alias("lost_chars"),
-    )
+    measures = {
+        "n_words": F.col("n"),
+        "word_chars": _dense(body),
+        "n_symbols": F.char_length("body") - F.char_length(_without(body, SYMBOLS)),
+        "n_dup_lines": F.size("wordy") - F.size(F.array_distinct("wordy")),
+        "n_repeat_words": _repeat_words(F.col("placed")),
+        "n_failed_lines": F.coalesce(F.size(F.filter("fails", lambda x: x)), F.lit(0)),
+        "lost_chars": F.when(F.col("cleaned") == body, F.lit(0)).otherwise(_dense(body) - _dense(F.col("cleaned"))),
+    }
+    told = [value.cast("long").alias(name) for name, value in measures.items()]
+    # Out of a generator the measures are values: a filter on them is not moved below and
+    # does not make words and windows anew for each element.
+    measured = split.select("row", F.explode_outer(F.array(F.struct(*told, "cleaned"))).alias("m")).select("row", "m.*")
     failed = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")
     )
-    return (
-        measured.withColumn("base_failed", failed)
-        .withColumn(
-            "kept",
-            ~F.col("base_failed") & (100 * F.col("lost_chars") <= max_lost_percent * F.col("word_chars")),
-        )
+    return measured.withColumn("base_failed", failed).withColumn(
+        "kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= max_lost_percent * F.col("word_chars"))
     )
 
 
