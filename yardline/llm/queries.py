@@ -5,16 +5,43 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from yardline.llm import bpe, near_dup, quality_rules, suffix_dedup, token_files
+from yardline.llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    html_text,
+    near_dup,
+    quality_knn,
+    quality_rules,
+    suffix_dedup,
+    token_files,
+    warc,
+)
 from yardline.llm.text import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(read_table(spark, folder, "pages"))
+
+
+def op2_quality_knn(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_knn.score_quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.format_chats(read_table(spark, folder, "conversations"))
+
+
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, folder, "documents"), words=2)
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality_rules.score_rules(read_table(spark, folder, "documents").select("doc_id", "text"))
     return scored.select(
@@ -23,6 +50,11 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages")
+    return warc.write_and_read(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     found = suffix_dedup.remove_repeats(docs)
@@ -40,8 +72,13 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
+    "op2_quality_knn": op2_quality_knn,
+    "op3_chat_format": op3_chat_format,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op7_warc": op7_warc,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_bpe": op9_bpe,
     "op10_token_files": op10_token_files,
