@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from yardline.llm.bpe import byte_alphabet
 from yardline.llm.pretokens import WordTable, encode_texts
-from yardline.llm.text import map_batches, scratch_dir
+from yardline.llm.text import map_batches, materialise, scratch_dir
 
 END_ID = 2
 STRIPE_BYTES = 64 << 20
@@ -123,6 +123,8 @@ def read_tokens(spark: SparkSession, path: str, schema: str, *, key: str = "doc_
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    # A row for each part; written, its size lets Spark broadcast it rather than shuffle all ids.
+    bases = materialise(bases, "token-bases")
     wanted = files if keys is None else files.filter(F.col(f"`{key}`").isin(keys))
     return wanted.join(bases, "part").select(
         F.col(f"`{key}`"), (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", "ids"
