@@ -219,9 +219,10 @@ def votes(pages: DataFrame, *, url: str, source: str) -> DataFrame:
                 scores = Page(text or "").scores()
                 most = sum(len(p) for p in scores) and max(scores.values())
                 for path, score in scores.items():
-                    # Every page has one vote to share, so long pages do not outvote the others.
+                    # Pages vote alike, whatever their length, and with most of their vote for their
+                    # best path: a container around everything must not win as everyone's second choice.
                     if most > 0 and score > 0:
-                        total[host, path] += score / most
+                        total[host, path] += (score / most) ** 4
             keys = list(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
