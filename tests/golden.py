@@ -1,5 +1,7 @@
 """The golden fixture: two cities, two years, one streamed event."""
 
+from yardline.tables import BATCH_TABLES
+
 # The published fixture rows, which the expected results belong to.
 UF = [(35, "SP", "Sao Paulo", 3, "Sudeste"), (33, "RJ", "Rio de Janeiro", 3, "Sudeste")]
 MUNICIPIO = [(3550308, "Sao Paulo", "SP", 35), (3304557, "Rio de Janeiro", "RJ", 33)]
@@ -30,14 +32,7 @@ SOURCES = {
     "meta_municipio": META_MUNICIPIO,
     "alunos": ALUNOS,
 }
-HEADERS = {
-    "uf": "id_uf,sigla_uf,nome_uf,id_regiao,nome_regiao",
-    "municipio": "id_municipio,nome_municipio,sigla_uf,id_uf",
-    "meta_brasil": "ano,meta_indicador",
-    "meta_uf": "ano,sigla_uf,meta_indicador",
-    "meta_municipio": "ano,id_municipio,meta_indicador",
-    "alunos": "ano,id_municipio,rede,qtd_avaliados,qtd_alfabetizados,media_proficiencia",
-}
+HEADERS = {name: ",".join(spec.schema.names) for name, spec in BATCH_TABLES.items()}
 
 
 def write_seeds(folder, extra=None):

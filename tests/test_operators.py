@@ -44,8 +44,6 @@ def test_registry_has_the_six_sources():
     assert batch_table("municipio").seed_file == "municipio.csv"
     assert batch_table("municipio").warehouse_table == "br_bd_diretorios_brasil.municipio"
     assert batch_table("meta_uf").key == ("ano", "sigla_uf")
-    assert batch_table("meta_uf").partition() == ["ano"]
-    assert batch_table("uf").partition() == []
     with pytest.raises(KeyError):
         batch_table("nope")
 

@@ -52,16 +52,37 @@ def test_seed_types_are_declared(spark, tmp_path):
     assert df.count() == 3
 
 
-def test_static_and_dynamic_overwrite(spark, tmp_path):
-    def write(day, keep):
+def test_a_write_replaces_all_partitions(spark, tmp_path):
+    for day in ("a", "b"):
         df = spark.createDataFrame([(1, day)], "v int, d string")
-        write_parquet(df, f"{tmp_path}/{keep}", partition_by=["d"], keep_other_partitions=keep)
+        write_parquet(df, f"{tmp_path}/t", partition_by=["d"])
+    assert rows(spark.read.parquet(f"{tmp_path}/t"), "d") == [("b",)]
 
-    for keep in (True, False):
-        write("a", keep)
-        write("b", keep)
-    assert rows(spark.read.parquet(f"{tmp_path}/True"), "d") == [("a",), ("b",)]
-    assert rows(spark.read.parquet(f"{tmp_path}/False"), "d") == [("b",)]
+
+MICRODATA = "TP_DEPENDENCIA;CO_MUNICIPIO;IN_PRESENCA_LP;IN_PREENCHIMENTO_LP;VL_PESO_ALUNO_LP;VL_PROFICIENCIA_LP;IN_ALFABETIZADO"
+
+
+def test_microdata_by_the_header_of_each_file(spark, tmp_path):
+    folder = tmp_path / "micro" / "ano=2024"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_bytes(f"{MICRODATA};NO_PROVA\n3;9007199254740993;1;1;1.5;700.25;1;avaliação\n".encode("latin-1"))
+    turned = ";".join(reversed(MICRODATA.split(";")))
+    (folder / "b.csv").write_text(f'"{turned}"\n'.replace(";", '";"') + "0;650.5;2.5;1;1;1100015;2\n\n")
+    want = [(2024, 2, 1100015, 1.0, 1.0, 2.5, 650.5, 0.0), (2024, 3, 9007199254740993, 1.0, 1.0, 1.5, 700.25, 1.0)]
+    for files in (str(tmp_path / "micro"), {2024: str(folder)}):
+        got = readers.read_microdata(spark, files)
+        assert [tuple(float(v) if i > 2 else v for i, v in enumerate(r)) for r in rows(got)] == want
+    (folder / "c.csv").write_text("1;2;3\n")
+    with pytest.raises(Exception, match="no header in"):
+        readers.read_microdata(spark, str(tmp_path / "micro")).collect()
+
+
+def test_sheets_of_one_folder_must_have_one_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("CO_MUNICIPIO,META_FINAL_2024\n9007199254740993,70\n")
+    assert rows(readers.read_entity_sheet(spark, str(tmp_path)), "id_municipio") == [(9007199254740993,)]
+    (tmp_path / "b.csv").write_text("META_FINAL_2024,CO_MUNICIPIO\n70,12\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        readers.read_entity_sheet(spark, str(tmp_path)).collect()
 
 
 def test_hot_partition_value_is_written_by_several_tasks(spark, tmp_path):

@@ -6,6 +6,7 @@ from tests.golden import EVENT
 from yardline.operators.integrate import finish, grain_sums
 from yardline.plans.metrics import progress_rows
 from yardline.sources.lake import write_json_lines
+from yardline.operators.events import parse_lines, valid_events
 from yardline.sources.readers import CORRUPT, read_event_lines
 from yardline.streaming import events as ev
 from yardline.streaming import totals
@@ -17,7 +18,7 @@ def event(n, assessed=10, reached=5, **other):
 
 
 def drop(folder, name, lines):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     (folder / name).write_text("\n".join(lines) + "\n")
 
 
@@ -68,19 +69,19 @@ def test_encoded_payloads_are_decoded_to_lines(spark):
     records = spark.createDataFrame([(d,) for d in data], "data string")
     lines = ev.decoded_lines(records)
     assert not any("\n" in r.value for r in lines.collect())
-    assert rows(ev.valid_events(lines), "event_id") == [("e1",), ("e2",)]
-    parsed = ev.parse_lines(lines)
+    assert rows(valid_events(lines), "event_id") == [("e1",), ("e2",)]
+    parsed = parse_lines(lines)
     assert [r[CORRUPT] for r in parsed.filter(parsed[CORRUPT].isNotNull()).collect()] == ["%%%"]
 
 
 def test_wrongly_typed_field_costs_only_itself(spark):
     lines = spark.createDataFrame([(event(1, ano="soon"),), (event(2, ano="2024"),)], "value string")
-    assert rows(ev.measurements(ev.valid_events(lines)), "ano") == [(None,), (2024,)]
+    assert rows(ev.measurements(valid_events(lines)), "ano") == [(None,), (2024,)]
 
 
 def test_line_is_parsed_once(spark):
     lines = spark.createDataFrame([(event(1),)], "value string")
-    sums = grain_sums(ev.measurements(ev.valid_events(lines)))
+    sums = grain_sums(ev.measurements(valid_events(lines)))
     plan = sums._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
 
@@ -97,7 +98,7 @@ def test_running_sums_with_restart_snapshot_and_invariant(spark, tmp_path):
 
     def keep():
         lines = ev.read_lines(spark, str(source), max_files=1)
-        measures = ev.measurements(ev.valid_events(lines))
+        measures = ev.measurements(valid_events(lines))
         return finished(totals.keep_totals(measures, out, mark, trigger=ev.ALL_AVAILABLE))
 
     drop(source, "a.json", [event(1, 5, 2), event(2, 9, 9, id_municipio=7)])
@@ -111,8 +112,6 @@ def test_running_sums_with_restart_snapshot_and_invariant(spark, tmp_path):
         return rows(totals.read_totals(spark, out), "id_municipio", "qtd_avaliados", "qtd_alfabetizados")
 
     assert sums() == [(7, 9, 9), (3550308, 12, 10)]
-    for batch in (tmp_path / "out" / "batches").iterdir():
-        assert len(list(batch.glob("part-*"))) == 1
     upto = totals.snapshot_totals(spark, out)
     assert sums() == [(7, 9, 9), (3550308, 12, 10)]
     drop(source, "c.json", [event(4, 1, 1)])
@@ -125,8 +124,8 @@ def test_running_sums_with_restart_snapshot_and_invariant(spark, tmp_path):
 def test_stream_sums_added_to_batch_equal_one_aggregation(spark, tmp_path):
     drop(tmp_path / "in", "a.json", [event(n, n, n // 2, media_proficiencia=700.0 + n) for n in range(1, 9)])
     lines = spark.read.text(str(tmp_path / "in"))
-    measures = ev.measurements(ev.valid_events(lines))
-    stream = ev.measurements(ev.valid_events(ev.read_lines(spark, str(tmp_path / "in"))))
+    measures = ev.measurements(valid_events(lines))
+    stream = ev.measurements(valid_events(ev.read_lines(spark, str(tmp_path / "in"))))
     finished(totals.keep_totals(stream, str(tmp_path / "out"), str(tmp_path / "mark"), trigger=ev.ALL_AVAILABLE))
     added = totals.add_stream(grain_sums(measures), totals.read_totals(spark, str(tmp_path / "out")))
     assert rows(finish(added)) == rows(finish(grain_sums(measures.unionByName(measures))))
@@ -136,7 +135,7 @@ def test_redelivered_events_are_dropped_in_the_stream(spark, tmp_path):
     drop(tmp_path / "in", "a.json", [event(1), event(1), event(None, event_id=None), event(None, event_id=None)])
 
     def once():
-        events = ev.valid_events(ev.read_lines(spark, str(tmp_path / "in"), max_files=1))
+        events = valid_events(ev.read_lines(spark, str(tmp_path / "in"), max_files=1))
         return finished(
             ev.drop_redelivered(events, "1 day")
             .writeStream.format("parquet")
@@ -155,7 +154,7 @@ def test_redelivered_events_are_dropped_in_the_stream(spark, tmp_path):
 
 def test_event_files_are_appended_by_date(spark, tmp_path):
     lines = spark.createDataFrame([(event(1),)], "value string")
-    events = ev.valid_events(lines)
+    events = valid_events(lines)
     for date in ("2026-01-01", "2026-01-02", "2026-01-02"):
         write_json_lines(events, str(tmp_path / "events"), date)
     back = read_event_lines(spark, str(tmp_path / "events"))
@@ -163,16 +162,71 @@ def test_event_files_are_appended_by_date(spark, tmp_path):
     assert back.groupBy("ingestion_date").count().count() == 2
 
 
-def test_files_of_other_writers_beside_a_landing_stream_are_read(spark, tmp_path):
+def test_files_of_other_writers_count_before_and_after_a_stream_starts(spark, tmp_path):
+    given, landed = tmp_path / "events", str(tmp_path / "landed")
+    for name, n in (("a.txt", 1), ("b.jsonl", 2), ("c", 3)):
+        drop(given / "ingestion_date=2026-01-04", name, [event(n)])
+
+    def found():
+        return [r[0] for r in rows(read_event_lines(spark, str(given), landed), "event_id")]
+
+    assert found() == ["e1", "e2", "e3"]
+    drop(tmp_path / "in", "a.json", [event(4)])
+    lines = ev.read_lines(spark, str(tmp_path / "in"))
+    finished(ev.land(lines, landed, str(tmp_path / "mark"), "2026-01-05", ev.ALL_AVAILABLE))
+    assert found() == ["e1", "e2", "e3", "e4"]
+    (tmp_path / "landed" / "ingestion_date=2026-01-05" / "part-left-over.txt").write_text(event(5))
+    drop(given / "ingestion_date=2026-01-06", "d.txt", [event(6)])
+    assert found() == ["e1", "e2", "e3", "e4", "e6"]
+
+
+def test_files_beside_the_log_of_an_older_stream_are_read(spark, tmp_path):
     out = str(tmp_path / "out")
     drop(tmp_path / "in", "a.json", [event(1)])
-    lines = ev.read_lines(spark, str(tmp_path / "in"))
-    finished(ev.land(lines, out, str(tmp_path / "mark"), "2026-01-05", ev.ALL_AVAILABLE))
-    given = spark.createDataFrame([(event(2),)], "value string")
-    write_json_lines(ev.valid_events(given), out, "2026-01-06")
-    drop(tmp_path / "out" / "ingestion_date=2026-01-05", "events-x.jsonl", [event(3)])
-    (tmp_path / "out" / "ingestion_date=2026-01-05" / "part-left-over.txt").write_text(event(4))
-    assert rows(read_event_lines(spark, out), "event_id") == [("e1",), ("e2",), ("e3",)]
+    finished(ev.land(ev.read_lines(spark, str(tmp_path / "in")), out, str(tmp_path / "mark"), "2026-01-05", ev.ALL_AVAILABLE))
+    drop(tmp_path / "out" / "ingestion_date=2026-01-05", "b.txt", [event(2)])
+    assert rows(read_event_lines(spark, out), "event_id") == [("e1",), ("e2",)]
+
+
+def test_an_unfinished_snapshot_is_not_read(spark, tmp_path):
+    out = str(tmp_path / "out")
+    drop(tmp_path / "in", "a.json", [event(1, 5, 2)])
+    stream = ev.measurements(valid_events(ev.read_lines(spark, str(tmp_path / "in"))))
+    finished(totals.keep_totals(stream, out, str(tmp_path / "mark"), trigger=ev.ALL_AVAILABLE))
+    want = rows(totals.read_totals(spark, out))
+    (tmp_path / "out" / "snapshots" / "upto=99" / "_temporary").mkdir(parents=True)
+    (tmp_path / "out" / "batches" / "batch_id=98" / "_temporary").mkdir(parents=True)
+    assert rows(totals.read_totals(spark, out)) == want and len(want) == 1
+    assert totals.snapshot_totals(spark, out) == 0
+    made = (tmp_path / "out" / "snapshots" / "upto=0" / "_SUCCESS").stat().st_mtime_ns
+    assert totals.snapshot_totals(spark, out) == 0
+    assert (tmp_path / "out" / "snapshots" / "upto=0" / "_SUCCESS").stat().st_mtime_ns == made
+    assert rows(totals.read_totals(spark, out)) == want
+
+
+def test_late_events_without_id_stay(spark, tmp_path):
+    def at(day, **more):
+        return event(None, event_time=f"2026-01-{day:02d}T00:00:00+00:00", **more)
+
+    def once():
+        events = valid_events(ev.read_lines(spark, str(tmp_path / "in"), max_files=1))
+        query = (
+            ev.drop_redelivered(events, "1 hour").writeStream.format("parquet")
+            .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "mark"))
+            .trigger(availableNow=True).start()
+        )
+        return finished(query)
+
+    drop(tmp_path / "in", "a.json", [at(20, event_id="new")])
+    once()
+    drop(tmp_path / "in", "b.json", [at(21, event_id="newer")])
+    once()
+    drop(tmp_path / "in", "c.json", [at(1, event_id="late"), at(1, event_id=None), at(1, event_id=None)])
+    query = once()
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "event_id") == [(None,), (None,), ("new",), ("newer",)]
+    progress = [json.loads(p.json) if hasattr(p, "json") else p for p in query.recentProgress]
+    dropped = [s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"]]
+    assert sum(dropped) == 1
 
 
 def test_missing_folder_and_no_batches_are_empty(spark, tmp_path):

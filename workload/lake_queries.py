@@ -217,10 +217,9 @@ def group_sheet_csv(spark: SparkSession, folder: str) -> DataFrame:
               group by all)"""
 )
 def microdata_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Semicolon-separated latin-1 files per year with more columns than needed."""
+    """Semicolon-separated latin-1 files per year, of two column orders, with more columns than needed."""
     path = scratch_dir(spark, "microdata")
     lines = t.load(spark, folder, "lineitem")
-    years = [r.year for r in lines.select(F.year("l_shipdate").alias("year")).distinct().collect()]
     rows = lines.select(
         F.year("l_shipdate").alias("year"),
         F.lit("avaliação").alias("NO_PROVA"),
@@ -233,9 +232,11 @@ def microdata_csv(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("VL_PROFICIENCIA_LP"),
     )
     options = {"header": True, "sep": ";", "encoding": "ISO-8859-1"}
-    rows.write.partitionBy("year").options(**options).csv(path)
-    files = {year: f"{path}/year={year}" for year in years}
-    return weighted_microdata(readers.read_microdata(spark, files, E), E)
+    early, late = rows.filter("year < 1998"), rows.filter("year >= 1998")
+    turned = late.select(*reversed(late.columns))
+    for part in (early, turned):
+        part.write.mode("append").partitionBy("year").options(**options).csv(path)
+    return weighted_microdata(readers.read_microdata(spark, path, E), E)
 
 
 # --- streams --------------------------------------------------------------------------

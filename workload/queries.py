@@ -12,6 +12,7 @@ from workload.tables import E, sql
 from yardline.functions import code_label, gap, met_target, percentage, weighted_mean
 from yardline.operators import checks, marts, microdata, reshape
 from yardline.operators.clean import clean, typed
+from yardline.operators.events import valid_events
 from yardline.operators.integrate import (
     SCORE_SUM,
     SCORE_WEIGHT,
@@ -485,7 +486,7 @@ EVENTS_SQL = """select cast(event_id as varchar) as event_id, year, entity_id, s
 
 def _typed_events(lines: DataFrame) -> DataFrame:
     """Typed measurements of the parsable lines, with the event id beside them."""
-    return typed(ev.valid_events(lines, E), measure_spec(E), keep=["event_id"])
+    return typed(valid_events(lines, E), measure_spec(E), keep=["event_id"])
 
 
 @query(sql(EVENTS_SQL, "event_rows"))

@@ -22,7 +22,7 @@ from yardline.streaming.events import (
     land,
     read_lines,
 )
-from yardline.tables import EVENT_TABLE
+from yardline.tables import EVENT_LANDING
 
 
 def _date(text: str) -> str:
@@ -78,8 +78,8 @@ def main(argv: list[str] | None = None) -> None:
         lake = Lake(args.root)
         land(
             lines,
-            lake.path("bronze", EVENT_TABLE),
-            f"{args.root.rstrip('/')}/checkpoints/{EVENT_TABLE}",
+            lake.path("bronze", EVENT_LANDING),
+            f"{args.root.rstrip('/')}/checkpoints/{EVENT_LANDING}",
             args.ingestion_date,
             ALL_AVAILABLE if args.once else EVERY_TEN_SECONDS,
         ).awaitTermination()

@@ -11,6 +11,7 @@ from yardline.functions.text import (
     plain_number,
     strip_marker,
     to_type,
+    whole_number,
 )
 
 __all__ = [
@@ -28,4 +29,5 @@ __all__ = [
     "strip_marker",
     "to_type",
     "weighted_mean",
+    "whole_number",
 ]

@@ -49,6 +49,12 @@ def plain_number(col: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def whole_number(col: Column, target: str = "bigint") -> Column:
+    """A whole number written as text, exact to the last digit; decimals are cut off."""
+    exact = to_type(F.btrim(col, F.lit(_SPACE)), T.StringType(), target)
+    return F.coalesce(exact, plain_number(col).try_cast(target))
+
+
 def parse_number(col: Column) -> Column:
     """As ``plain_number``, with ``>`` markers left out first."""
     return plain_number(F.translate(col, ">", ""))

@@ -19,12 +19,15 @@ def counted(rows: DataFrame) -> DataFrame:
 
 
 def weighted_sums(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Sums that compose: they may be taken on any finer key first and added later."""
+    """Sums that compose: they may be taken on any finer key first and added later.
+
+    Decimal weights and scores give the same sums in any order.
+    """
     weight = F.col("weight")
     return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(weight).alias("w"),
-        F.sum(weight * F.col("flag")).alias("w_flag"),
+        F.sum(weight * F.col("flag").cast("int")).alias("w_flag"),
         F.sum(weight * F.col("score")).alias("w_score"),
     )
 
@@ -37,7 +40,8 @@ def finish_microdata(
 
     Missing terms add nothing; a group without weight has NULL results.
     """
-    n, w, w_flag, w_score = (F.coalesce(F.col(c), F.lit(0)) for c in ("n", "w", "w_flag", "w_score"))
+    n = F.coalesce(F.col("n"), F.lit(0))
+    w, w_flag, w_score = (F.coalesce(F.col(c).cast("double"), F.lit(0)) for c in ("w", "w_flag", "w_score"))
     return sums.select(
         F.col(names.year),
         F.col("entity").alias(names.entity),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from yardline.names import DOMAIN, Names
+from yardline.plans.schemas import layer_schema, read_layer
 from yardline.sources.lake import Lake, child_names
 from yardline.tables import BATCH_TABLES, EVENT_TABLE, INGESTION_DATE, event_schema
 
@@ -44,7 +46,7 @@ def register(
         if children is None:
             continue
         name = f"`{database}`.`{table}`"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
         if table == EVENT_TABLE:
             fields = ", ".join(f"`{f}` string" for f in event_schema(names).names)
             spark.sql(
@@ -52,15 +54,28 @@ def register(
                 f"PARTITIONED BY ({INGESTION_DATE}) LOCATION '{path}'"
             )
         else:
-            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+            _create(spark, layer, table, name, path, any("=" in child for child in children))
         if any("=" in child for child in children):
             spark.sql(f"MSCK REPAIR TABLE {name}")
         registered.append(f"{database}.{table}")
     return registered
 
 
+def _create(spark: SparkSession, layer: str, table: str, name: str, path: str, partitioned: bool) -> None:
+    """A table with its declared schema where there is one, so that an empty one registers too."""
+    schema = layer_schema(spark, layer, table)
+    if schema is None or partitioned:
+        try:
+            spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+            return
+        except AnalysisException:
+            if schema is None:
+                raise
+    spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
+
+
 def view(spark: SparkSession, lake: Lake, layer: str, table: str, name: str | None = None) -> str:
     """A temporary view over the hive-partitioned files, without a catalog table."""
     name = name or f"{layer}_{table}"
-    lake.read(spark, layer, table).createOrReplaceTempView(name)
+    read_layer(spark, lake, layer, table).createOrReplaceTempView(name)
     return name

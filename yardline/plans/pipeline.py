@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -18,11 +19,13 @@ from yardline.operators.checks import CHECK_SCHEMA, Rule, check_all
 from yardline.operators.clean import is_rejected, newest_per_key, typed
 from yardline.operators.integrate import first_per_event, integrate
 from yardline.plans.metrics import RunMetrics, observed
+from yardline.plans.schemas import layer_schema, read_layer
 from yardline.plans.suite import gold_suite, outcome, raise_on_failure, silver_suite
-from yardline.sources.lake import Lake, write_parquet, write_snapshot
+from yardline.sources.lake import Lake, child_names, write_parquet, write_snapshot
 from yardline.sources.readers import CORRUPT, read_event_lines, read_source
 from yardline.tables import (
     BATCH_TABLES,
+    EVENT_LANDING,
     EVENT_TABLE,
     INGESTED_AT,
     INGESTION_DATE,
@@ -72,7 +75,8 @@ def ingest_table(run: Run, spec: TableSpec) -> str:
     """Land one source under its ingestion date; other dates stay as they are.
 
     Row counts are observed on the write. Lines that did not fit the declared
-    columns are counted and, if there are any, also kept whole in quarantine.
+    columns are counted and kept whole in the date's quarantine, which a re-run replaces,
+    be it by an empty one.
     """
     source = read_source(
         run.spark,
@@ -92,8 +96,7 @@ def ingest_table(run: Run, spec: TableSpec) -> str:
     found = counts.get
     run.metrics.add("bronze", "RecordsIngested", found["rows"], table=spec.name)
     run.metrics.add("bronze", "RecordsMalformed", found["malformed"], table=spec.name)
-    if found["malformed"]:
-        _quarantine(run, source, spec.name)
+    _quarantine(run, source if found["malformed"] else source.limit(0), spec.name)
     return path
 
 
@@ -104,6 +107,25 @@ def _quarantine(run: Run, rows: DataFrame, table: str) -> None:
     write_snapshot(with_ingestion_metadata(bad, table), path, run.ingestion_date)
 
 
+def _quarantine_events(run: Run, landed: DataFrame) -> None:
+    """Keep malformed event lines below the date they landed on: of the run's date, which is
+    replaced, and of earlier dates that no run has looked through yet."""
+    path = run.lake.path("bronze", f"{QUARANTINE}/{EVENT_TABLE}")
+    prefix = f"{INGESTION_DATE}="
+    if INGESTION_DATE not in landed.columns:
+        return _quarantine(run, landed, EVENT_TABLE)
+    done = [c[len(prefix) :] for c in child_names(run.spark, path) or [] if c.startswith(prefix)]
+    earlier = [d for d in done if d != run.ingestion_date]
+    date = F.col(INGESTION_DATE)
+    fresh = landed.filter(~date.isin([datetime.date.fromisoformat(d) for d in earlier])) if earlier else landed
+    bad = fresh.filter(F.col(CORRUPT).isNotNull()).withColumnRenamed(CORRUPT, "line")
+    # The run's date first, empty if need be: its folder tells that the date was looked through.
+    own = bad.filter(date == F.lit(run.ingestion_date).cast("date")).drop(INGESTION_DATE)
+    write_snapshot(with_ingestion_metadata(own, EVENT_TABLE), path, run.ingestion_date)
+    late = with_ingestion_metadata(bad.filter(date < F.lit(run.ingestion_date).cast("date")), EVENT_TABLE)
+    late.write.mode("append").partitionBy(INGESTION_DATE).parquet(path)
+
+
 def ingest(run: Run, tables: Iterable[str] | None = None) -> None:
     specs = [batch_table(name) for name in tables] if tables else list(BATCH_TABLES.values())
     together(run, [partial(ingest_table, run, spec) for spec in specs])
@@ -118,8 +140,14 @@ def _write(run: Run, layer: str, table: str, df: DataFrame, sort_by: list[str])
     run.metrics.add(layer, "RecordsWritten", counts.get["rows"], table=table)
 
 
+def _bronze(run: Run, spec: TableSpec) -> DataFrame:
+    """The snapshot of the run's date or, where there is none, the newest before it."""
+    schema = layer_schema(run.spark, "bronze", spec.name)
+    return run.lake.read_newest(run.spark, "bronze", spec.name, run.ingestion_date, schema)
+
+
 def _write_clean(run: Run, spec: TableSpec) -> None:
-    raw = run.lake.read_newest(run.spark, "bronze", spec.name)
+    raw = _bronze(run, spec)
     rows, counts = observed(
         typed(raw, spec, keep=[INGESTED_AT]),
         f"clean {spec.name}",
@@ -141,11 +169,15 @@ def _write_clean(run: Run, spec: TableSpec) -> None:
 def silver(run: Run) -> None:
     together(run, [partial(_write_clean, run, s) for s in BATCH_TABLES.values() if s.key])
     spec = batch_table("alunos")
-    entities = run.lake.read(run.spark, "silver", "municipio")
-    groups = run.lake.read(run.spark, "silver", "uf")
-    batch = typed(run.lake.read_newest(run.spark, "bronze", spec.name), spec)
+    entities = read_layer(run.spark, run.lake, "silver", "municipio")
+    groups = read_layer(run.spark, run.lake, "silver", "uf")
+    batch = typed(_bronze(run, spec), spec)
 
-    landed = read_event_lines(run.spark, run.lake.path("bronze", EVENT_TABLE))
+    landed = read_event_lines(
+        run.spark, run.lake.path("bronze", EVENT_TABLE), run.lake.path("bronze", EVENT_LANDING)
+    )
+    if INGESTION_DATE in landed.columns:  # a run for an earlier date does not know later events
+        landed = landed.filter(F.col(INGESTION_DATE) <= F.lit(run.ingestion_date).cast("date"))
     lines, counts = observed(
         landed, "events", malformed=F.count_if(F.col(CORRUPT).isNotNull())
     )
@@ -159,13 +191,12 @@ def silver(run: Run) -> None:
     _write(run, "silver", "alunos", measures, [N.entity, N.segment])
     run.metrics.add("silver", "RecordsRead", counts.get["rows"], table=EVENT_TABLE)
     run.metrics.add("silver", "RecordsMalformed", counts.get["malformed"], table=EVENT_TABLE)
-    if counts.get["malformed"]:
-        _quarantine(run, landed.drop(INGESTION_DATE), EVENT_TABLE)
+    _quarantine_events(run, landed)
 
 
 def _gate(run: Run, suite: list[tuple[str, list[Rule]]], tables: dict[str, str]) -> None:
     """Check written tables, keep every result, then stop the run if a critical rule failed."""
-    frames = {name: run.lake.read(run.spark, layer, name) for name, layer in tables.items()}
+    frames = {name: read_layer(run.spark, run.lake, layer, name) for name, layer in tables.items()}
     rows = outcome(check_all(suite, frames))
     kept = run.spark.createDataFrame(rows, CHECK_SCHEMA)
     kept = kept.withColumns(
@@ -197,7 +228,7 @@ def gold(run: Run) -> None:
     read it back instead of aggregating the fact grain again."""
 
     def table(layer: str, name: str) -> DataFrame:
-        return run.lake.read(run.spark, layer, name)
+        return read_layer(run.spark, run.lake, layer, name)
 
     measures = table("silver", "alunos")
     entity_targets = table("silver", "meta_municipio")

@@ -35,7 +35,12 @@ class Lake:
         return reader.parquet(self.path(layer, dataset))
 
     def read_newest(
-        self, spark: SparkSession, layer: str, dataset: str, as_of: str | None = None
+        self,
+        spark: SparkSession,
+        layer: str,
+        dataset: str,
+        as_of: str | None = None,
+        schema: T.StructType | None = None,
     ) -> DataFrame:
         """The newest dated snapshot, not later than ``as_of``.
 
@@ -47,13 +52,14 @@ class Lake:
         if children is None:
             raise FileNotFoundError(f"no table at {path}")
         dates = [c[len(prefix) :] for c in children if c.startswith(prefix)]
+        reader = spark.read if schema is None else spark.read.schema(schema)
         if not dates:
-            return spark.read.parquet(path)
+            return reader.parquet(path)
         usable = [d for d in dates if as_of is None or d <= as_of]
         if not usable:
             raise FileNotFoundError(f"no snapshot of {path} up to {as_of}")
         folder = f"{path}/{prefix}{max(usable)}"
-        return spark.read.option("basePath", path).parquet(folder)
+        return reader.option("basePath", path).parquet(folder)
 
 
 def child_names(spark: SparkSession, path: str) -> list[str] | None:
@@ -71,7 +77,6 @@ def write_parquet(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-    keep_other_partitions: bool = False,
     count_into: Observation | None = None,
 ) -> None:
     """Write a layer table.
@@ -80,7 +85,6 @@ def write_parquet(
     partitions are merged into few files and a partition value holding much of
     the table is split over many tasks, so neither small files nor one huge task
     result. ``sort_by`` orders rows inside each file for tighter column statistics.
-    ``keep_other_partitions`` replaces only the partitions present in ``df``.
     ``count_into`` takes the number of rows, counted by the writing tasks: unlike a count
     before a shuffle it stays right when a lost executor's map tasks run again.
     """
@@ -93,11 +97,7 @@ def write_parquet(
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if keep_other_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    writer.option("partitionOverwriteMode", "static").parquet(path)
 
 
 def write_snapshot(df: DataFrame, path: str, ingestion_date: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +15,11 @@ from yardline.functions import (
     id_prefix,
     plain_number,
     strip_marker,
+    whole_number,
 )
 from yardline.names import DOMAIN, Names
 from yardline.operators.events import CORRUPT, parse_lines
+from yardline.session import materialise
 from yardline.sources.lake import child_names
 from yardline.tables import INGESTION_DATE, TableSpec
 
@@ -72,22 +74,27 @@ def read_source(
     return read_seed(spark, spec, seeds)
 
 
-def read_event_lines(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
-    """Landed events of all dates, fields as text, unparsable lines in ``_corrupt_record``.
+def read_event_lines(
+    spark: SparkSession, path: str, landed: str | None = None, names: Names = DOMAIN
+) -> DataFrame:
+    """Events of all dates, fields as text, unparsable lines in ``_corrupt_record``.
 
-    A missing folder is an empty stream; any other failure is raised. Where a landing
-    stream keeps its log in the folder, the log names the stream's own files, so that
-    leftovers of a failed attempt do not count; JSON files put beside them by other
-    writers are read as well.
+    Every file below ``path`` counts, whoever wrote it and whatever its name. A landing stream
+    has a folder of its own, ``landed``, in which its log decides: leftovers of a failed
+    attempt are not in it. A missing folder is an empty stream; any other failure is raised.
     """
-    children = child_names(spark, path)
-    if children is None:
+    parts = []
+    children = child_names(spark, path) or []
+    if any(c.startswith(_DATED) for c in children):
+        # By date folders, since a log that a stream has left in ``path`` would hide other files.
+        parts.append(spark.read.option("basePath", path).text(f"{path}/{_DATED}*"))
+    elif children:
+        parts.append(spark.read.text(path))
+    if landed is not None and child_names(spark, landed) is not None:
+        parts.append(spark.read.text(landed))
+    if not parts:
         return parse_lines(spark.createDataFrame([], "value string"), names)
-    lines = spark.read.text(path)
-    if "_spark_metadata" in children and any(c.startswith(_DATED) for c in children):
-        reader = spark.read.option("basePath", path).option("pathGlobFilter", "*.json*")
-        beside = reader.text(f"{path}/{_DATED}*")
-        lines = lines.unionByName(beside, allowMissingColumns=True)
+    lines = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return parse_lines(lines, names)
 
 
@@ -167,19 +174,49 @@ def with_parent(
 def read_text_table(
     spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8"
 ) -> DataFrame:
-    """A delimited file with header, every column as text, to be picked by name."""
-    return (
-        spark.read.option("header", True)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .csv(path)
+    """A delimited file with header, every column as text, to be picked by name.
+
+    All files of a folder must have the first one's header; another one is an error. Files
+    that differ are read by ``read_by_header``.
+    """
+    options = {"header": True, "sep": sep, "encoding": encoding}
+    columns = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return spark.read.options(**options, enforceSchema=False).schema(schema).csv(path)
+
+
+def read_by_header(lines: DataFrame, columns: Iterable[str], sep: str) -> DataFrame:
+    """Named columns, as text, of delimited lines (``value``) whose files differ in column order.
+
+    A file's header is its line that holds all the names. Headers are a row per file, written
+    first so that their size decides how they are joined; a line of a file without one is an error.
+    Other columns of ``lines`` stay. For plain fields: a quoted field must not hold ``sep``.
+    """
+    columns = list(columns)
+    fields = F.transform(F.split("value", f"\\Q{sep}\\E"), lambda x: F.trim(x, F.lit(' "\r\ufeff')))
+    other = [c for c in lines.columns if c != "value"]
+    split = lines.select(*other, F.col("_metadata.file_path").alias("_file"), fields.alias("_fields"))
+    is_header = reduce(lambda a, b: a & b, [F.array_contains("_fields", c) for c in columns])
+    headers = materialise(
+        split.filter(is_header).groupBy("_file").agg(F.min("_fields").alias("_header")), "headers"
+    )
+    rows = split.filter(~is_header).join(headers, "_file", "left")
+    missing = F.raise_error(F.concat(F.lit("no header in "), F.col("_file"))).cast("string")
+    return rows.select(
+        *other,
+        *[
+            F.when(F.col("_header").isNull(), missing)
+            .otherwise(F.get("_fields", F.array_position("_header", c).cast("int") - 1))
+            .alias(c)
+            for c in columns
+        ],
     )
 
 
 def read_entity_sheet(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
     """Wide target sheet by municipality, exported as CSV."""
     sheet = read_text_table(spark, path)
-    key = plain_number(F.col("CO_MUNICIPIO")).try_cast("bigint")
+    key = whole_number(F.col("CO_MUNICIPIO"))
     return sheet.withColumn(names.entity, key).filter(all_present([names.entity]))
 
 
@@ -201,19 +238,43 @@ MICRODATA_COLUMNS = {
     "VL_PROFICIENCIA_LP": "score",
     "IN_ALFABETIZADO": "flag",
 }
-_MICRODATA_TYPES = {"network": "int", "entity": "bigint"}
+# Weights and scores as decimals: their sums do not depend on the order of addition.
+_MICRODATA_TYPES = {"weight": "decimal(18,8)", "score": "decimal(18,8)"}
+_WHOLE = ("network", "entity")
+
+
+def microdata_columns(lines: DataFrame, names: Names = DOMAIN) -> DataFrame:
+    """Typed microdata columns of raw lines that carry their year."""
+    raw = read_by_header(lines, MICRODATA_COLUMNS, ";")
+    columns = []
+    for source, role in MICRODATA_COLUMNS.items():
+        text = F.btrim(F.col(source), F.lit(" "))
+        if role in _WHOLE:
+            value = whole_number(text, "int" if role == "network" else "bigint")
+        elif role in _MICRODATA_TYPES:
+            value = F.when(plain_number(text).isNotNull(), text.try_cast(_MICRODATA_TYPES[role]))
+        else:
+            value = plain_number(text)
+        columns.append(value.alias(role))
+    return raw.select(names.year, *columns)
 
 
 def read_microdata(
-    spark: SparkSession, files: Mapping[int, str], names: Names = DOMAIN
+    spark: SparkSession, files: Mapping[int, str] | str, names: Names = DOMAIN
 ) -> DataFrame:
-    """Per-student rows of several years, ``{year: path}``; seven columns, by name."""
-    parts = []
-    for year, path in sorted(files.items()):
-        raw = read_text_table(spark, path, sep=";", encoding="ISO-8859-1")
-        columns = [
-            plain_number(F.col(source)).try_cast(_MICRODATA_TYPES.get(role, "double")).alias(role)
-            for source, role in MICRODATA_COLUMNS.items()
-        ]
-        parts.append(raw.select(F.lit(year).alias(names.year), *columns))
-    return reduce(DataFrame.unionByName, parts)
+    """Per-student rows of several years; seven columns, by each file's header.
+
+    ``files`` is a folder partitioned by year, which is one scan, or ``{year: path}``.
+    """
+    if isinstance(files, str):
+        folder = spark.read.text(files)
+        lines = folder.select(F.col(names.year).cast("int"), "value", "_metadata")
+    else:
+        lines = reduce(
+            DataFrame.unionByName,
+            [
+                spark.read.text(path).select(F.lit(year).alias(names.year), "value", "_metadata")
+                for year, path in sorted(files.items())
+            ],
+        )
+    return microdata_columns(lines.filter(F.length(F.trim("value")) > 0), names)

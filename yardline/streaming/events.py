@@ -11,27 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from yardline.functions import decode_payload
 from yardline.names import DOMAIN, Names
 from yardline.operators.clean import typed
-from yardline.operators.events import (
-    filled_lines,
-    malformed_lines,
-    parse_lines,
-    valid_events,
-)
+from yardline.operators.events import filled_lines, malformed_lines
 from yardline.tables import INGESTION_DATE, measure_spec
 
-__all__ = [
-    "ALL_AVAILABLE",
-    "EVERY_TEN_SECONDS",
-    "decoded_lines",
-    "drop_redelivered",
-    "land",
-    "measurements",
-    "parse_lines",
-    "quarantine",
-    "read_lines",
-    "valid_events",
-]
-
 # A micro-batch every ten seconds.
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
 ALL_AVAILABLE = {"availableNow": True}
@@ -119,17 +101,18 @@ def drop_redelivered(
 ) -> DataFrame:
     """Optional streaming dedup: one delivery of an id within ``delay``.
 
-    State is bounded by the watermark. Events without an id get one of their own, so
-    they are never taken for copies of each other. An id redelivered very many times is
-    first reduced per salt, over many tasks, and only those survivors meet in one.
+    State is bounded by the watermark; an event with an id that comes later than that is
+    dropped and counted in the query's progress (``numRowsDroppedByWatermark``). Events without
+    an id are never taken for copies: they go past the state, so none is late or kept in it.
+    An id redelivered very many times is first reduced per salt, over many tasks, and only those
+    survivors meet in one.
     """
-    timed = events.withColumns(
-        {
-            "_time": F.try_to_timestamp(event_time),
-            "_id": F.coalesce(F.col(event_id), F.uuid()),
-            "_salt": F.spark_partition_id() % salts,
-        }
-    ).withWatermark("_time", delay)
-    spread = timed.dropDuplicatesWithinWatermark(["_id", "_salt"]) if salts > 1 else timed
-    kept = spread.dropDuplicatesWithinWatermark(["_id"])
-    return kept.drop("_time", "_id", "_salt")
+    without_id = events.filter(F.col(event_id).isNull())
+    timed = (
+        events.filter(F.col(event_id).isNotNull())
+        .withColumns({"_time": F.try_to_timestamp(event_time), "_salt": F.spark_partition_id() % salts})
+        .withWatermark("_time", delay)
+    )
+    spread = timed.dropDuplicatesWithinWatermark([event_id, "_salt"]) if salts > 1 else timed
+    kept = spread.dropDuplicatesWithinWatermark([event_id])
+    return kept.drop("_time", "_salt").unionByName(without_id)

@@ -14,11 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from yardline.names import DOMAIN, Names
 from yardline.operators.integrate import SCORE_SUM, SCORE_WEIGHT, add_sums, grain_sums
-from yardline.sources.lake import child_names
 from yardline.streaming.events import EVERY_TEN_SECONDS
 
 BATCH = "batch_id"
-ROWS_PER_FILE = 1_000_000
 
 
 def keep_totals(
@@ -31,17 +29,15 @@ def keep_totals(
     """Keep sums per year x entity x segment; state is one row per key.
 
     Each micro-batch overwrites its own folder, so a repeated batch changes nothing.
-    An empty batch writes nothing. The state is computed once, into executor storage;
-    files follow the number of touched keys, not that of the state's partitions.
+    An empty batch writes nothing. The state is computed once, into executor storage, and
+    written by the tasks that hold it; the snapshot makes few files of many.
     """
 
     def save(totals: DataFrame, batch_id: int) -> None:
         totals = totals.persist()
         try:
-            touched = totals.count()
-            if touched:
-                few_files = totals.coalesce(1 + touched // ROWS_PER_FILE)
-                few_files.write.mode("overwrite").parquet(f"{path}/batches/{BATCH}={batch_id}")
+            if not totals.isEmpty():
+                totals.write.mode("overwrite").parquet(f"{path}/batches/{BATCH}={batch_id}")
         finally:
             totals.unpersist()
 
@@ -55,38 +51,51 @@ def keep_totals(
     )
 
 
-def _numbers(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    names = child_names(spark, folder) or []
-    return [int(n[len(prefix) :]) for n in names if n.startswith(prefix)]
+def _finished(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the sub-folders whose write was finished, found by one listing."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{prefix}*/_SUCCESS")
+    fs = done.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(done) or []
+    return sorted(int(status.getPath().getParent().getName()[len(prefix) :]) for status in found)
+
+
+def _batches(spark: SparkSession, path: str, after: int, names: Names) -> DataFrame:
+    """Rows of the finished batches after a number; earlier folders are not opened."""
+    later = [n for n in _finished(spark, f"{path}/batches", f"{BATCH}=") if n > after]
+    if not later:
+        return spark.createDataFrame([], _schema(names))
+    reader = spark.read.schema(_schema(names)).option("basePath", f"{path}/batches")
+    return reader.parquet(*[f"{path}/batches/{BATCH}={n}" for n in later])
 
 
 def read_totals(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
-    """The latest total of every key: newest snapshot and the batches after it."""
-    if child_names(spark, f"{path}/batches") is None:
-        return spark.createDataFrame([], _schema(names)).drop(BATCH)
-    batches = spark.read.schema(_schema(names)).parquet(f"{path}/batches")
-    upto = max(_numbers(spark, f"{path}/snapshots", "upto="), default=None)
-    if upto is not None:
+    """The latest total of every key: newest finished snapshot and the finished batches after it."""
+    upto = max(_finished(spark, f"{path}/snapshots", "upto="), default=-1)
+    batches = _batches(spark, path, upto, names)
+    if upto >= 0:
         snapshot = spark.read.schema(_schema(names)).parquet(f"{path}/snapshots/upto={upto}")
-        later = batches.filter(F.col(BATCH) > upto)
-        batches = later.unionByName(snapshot.withColumn(BATCH, F.lit(upto).cast("bigint")))
+        batches = batches.unionByName(snapshot.withColumn(BATCH, F.lit(upto).cast("bigint")))
     sums = [names.assessed, names.reached, SCORE_SUM, SCORE_WEIGHT]
     newest = [F.max_by(c, BATCH).alias(c) for c in sums]
     return batches.groupBy(*names.grain).agg(*newest)
 
 
 def snapshot_totals(spark: SparkSession, path: str, names: Names = DOMAIN) -> int | None:
-    """Fold the finished batches into a snapshot, so that readers open few folders."""
-    done = [
-        n
-        for n in _numbers(spark, f"{path}/batches", f"{BATCH}=")
-        if "_SUCCESS" in (child_names(spark, f"{path}/batches/{BATCH}={n}") or [])
-    ]
-    if not done:
-        return None
-    upto = max(done)
-    totals = read_totals(spark, path, names)
-    totals.write.mode("overwrite").parquet(f"{path}/snapshots/upto={upto}")
+    """Fold the finished batches into a snapshot, so that readers open few folders.
+
+    A snapshot that is there already is left as it is. Batches go once a snapshot before this
+    one holds them, so a reader that has just chosen the last snapshot still finds its batches.
+    """
+    done = _finished(spark, f"{path}/batches", f"{BATCH}=")
+    kept = _finished(spark, f"{path}/snapshots", "upto=")
+    upto = max([*done, *kept], default=None)
+    if upto is None or upto in kept:
+        return upto
+    read_totals(spark, path, names).write.mode("overwrite").parquet(f"{path}/snapshots/upto={upto}")
+    for n in done:
+        if kept and n <= kept[-1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batches/{BATCH}={n}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return upto
 
 

@@ -47,13 +47,6 @@ class TableSpec:
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(f.name, _SPARK[f.type]) for f in self.fields])
 
-    @property
-    def text_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(f.name, T.StringType()) for f in self.fields])
-
-    def partition(self, names: Names = DOMAIN) -> list[str]:
-        return [names.year] if any(f.name == names.year for f in self.fields) else []
-
 
 def group_spec(n: Names = DOMAIN, name: str = "uf", warehouse: str | None = None) -> TableSpec:
     fields = (
@@ -128,6 +121,8 @@ BATCH_TABLES: dict[str, TableSpec] = {
 
 # Table and envelope of the landed events.
 EVENT_TABLE = "alunos_streaming"
+#: Folder that only the landing stream writes; its log tells which of its files count.
+EVENT_LANDING = "alunos_streaming_landed"
 EVENT_ENVELOPE = ("event_id", "event_time", "event_type")
 
 
