@@ -20,6 +20,8 @@ from yardline.operators import reshape
 from yardline.operators.clean import typed
 from yardline.operators.integrate import enrich, finish, grain_sums
 from yardline.operators.microdata import weighted_microdata
+from yardline.operators.checks import check_all
+from yardline.operators.events import valid_events
 from yardline.plans import catalog
 from yardline.plans.pipeline import (
     QUARANTINE,
@@ -28,9 +30,16 @@ from yardline.plans.pipeline import (
     together,
     with_ingestion_metadata,
 )
+from yardline.plans.suite import QualityGateError, gate, silver_suite
 from yardline.session import scratch_dir
 from yardline.sources import readers
-from yardline.sources.lake import Lake, write_csv, write_parquet, write_snapshot
+from yardline.sources.lake import (
+    Lake,
+    write_csv,
+    write_json_lines,
+    write_parquet,
+    write_snapshot,
+)
 from yardline.streaming import events as ev
 from yardline.streaming import totals
 from yardline.tables import EVENT_TABLE, INGESTED_AT, INGESTION_DATE, entity_spec, measure_spec
@@ -256,7 +265,7 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
         lines, f"{root}/landed", f"{root}/checkpoint", "2026-01-05", ev.ALL_AVAILABLE
     )
     landing.awaitTermination()
-    landed = readers.read_event_lines(spark, f"{root}/landed", E)
+    landed = readers.read_event_lines(spark, f"{root}/landed", names=E)
     valid = landed.filter(F.col(readers.CORRUPT).isNull())
     return typed(valid, measure_spec(E), keep=["event_id"])
 
@@ -334,14 +343,9 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 _RUNS: dict[tuple[str, str], Run] = {}
 
 
-def _layered_run(spark: SparkSession, folder: str) -> Run:
-    """Bronze, silver, gates and gold over sources exported from the tables; one run per
-    session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key in _RUNS:
-        return _RUNS[key]
-    root = scratch_dir(spark, "lake")
-    seeds, lake = f"{root}/seeds", Lake(f"{root}/lake")
+def _prepared(spark: SparkSession, folder: str, root: str, date: str, **changed: DataFrame) -> Run:
+    """A run over sources exported from the tables, of which some may be changed."""
+    seeds, lake = f"{root}/seeds-{date}", Lake(f"{root}/lake")
     renamed = dict(zip(dataclasses.astuple(E), dataclasses.astuple(DOMAIN), strict=True))
     sources = {
         "uf": t.groups(spark, folder),
@@ -352,22 +356,30 @@ def _layered_run(spark: SparkSession, folder: str) -> Run:
         "meta_uf": t.group_targets(spark, folder),
         "meta_municipio": t.entity_targets(spark, folder),
         "alunos": t.batch(spark, folder),
+        **changed,
     }
-    run = Run(spark, lake, "2026-01-05", seeds)
     exports = []
     for name, rows in sources.items():
         rows = rows.withColumnsRenamed(renamed)
         exports.append(partial(write_csv, rows, f"{seeds}/{name}.csv", rows.columns))
     events = lake.path("bronze", EVENT_TABLE)
-    exports.append(
-        partial(t.event_lines(spark, folder, DOMAIN).write.text, f"{events}/ingestion_date=2026-01-05")
-    )
+    lines = t.event_lines(spark, folder, DOMAIN)
+    exports.append(partial(lines.write.mode("overwrite").text, f"{events}/ingestion_date={date}"))
+    run = Run(spark, lake, date, seeds)
     together(run, exports)
-    run_stages(run)
-    _RUNS[key] = run
     return run
 
 
+def _layered_run(spark: SparkSession, folder: str) -> Run:
+    """Bronze, silver, gates and gold; one run per session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _RUNS:
+        run = _prepared(spark, folder, scratch_dir(spark, "lake"), "2026-01-05")
+        run_stages(run)
+        _RUNS[key] = run
+    return _RUNS[key]
+
+
 # Lines cut short are no events: the run counts them and keeps them apart.
 _WHOLE_EVENTS = {"stream": t.SQL["stream"] + " where event_type <> 'view'"}
 
@@ -476,3 +488,69 @@ def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return saved.filter(F.col("metric").isin("RecordsIngested", "RecordsWritten")).select(
         "stage", F.col("dimensions")["table"].alias("table"), "value"
     )
+
+
+@query(
+    _run_sql(
+        """select year as ano, entity_id as id_municipio, segment as rede, indicator_pct as indicador_pct,
+                  cast(null as double) as meta_municipio, cast(null as boolean) as atingiu_meta
+           from integrated""",
+        "integrated",
+    )
+)
+def empty_targets_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A run whose municipal targets are empty: facts without targets."""
+    targets = t.entity_targets(spark, folder)
+    root = scratch_dir(spark, "empty-targets")
+    run = _prepared(spark, folder, root, "2026-01-05", meta_municipio=targets.filter("false"))
+    run_stages(run)
+    fact = run.lake.read(spark, "gold", "fato_alfabetizacao")
+    return fact.select("ano", "id_municipio", "rede", "indicador_pct", "meta_municipio", "atingiu_meta")
+
+
+@query(
+    sql(
+        "select year as ano, group_code as sigla_uf, target as meta_indicador from group_targets",
+        "group_targets",
+    )
+)
+def backfill_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Two dates, then the first again: it uses its own snapshot, not the newer one."""
+    root = scratch_dir(spark, "backfill")
+    targets = t.group_targets(spark, folder)
+    first = _prepared(spark, folder, root, "2026-01-01")
+    later = _prepared(spark, folder, root, "2026-01-02", meta_uf=targets.filter(f"{E.year} < 1998"))
+    for run in (first, later, first):
+        run_stages(run, ["bronze", "silver"])
+    return first.lake.read(spark, "silver", "meta_uf")
+
+
+@query(sql(EVENTS_SQL, "event_rows"))
+def event_files_write(spark: SparkSession, folder: str) -> DataFrame:
+    """Events appended as JSON files below their date and read back."""
+    path = scratch_dir(spark, "event-files")
+    write_json_lines(valid_events(t.event_lines(spark, folder), E), path, "2026-01-05")
+    landed = readers.read_event_lines(spark, path, names=E)
+    return typed(landed.filter(F.col(readers.CORRUPT).isNull()), measure_spec(E), keep=["event_id"])
+
+
+@query(
+    """select 'municipio.chave_unica' as rule from customer having count(*) > 0
+       union all
+       select 'alunos.alfabetizados_leq_avaliados' from lineitem having count(*) > 0"""
+)
+def failing_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the critical rules that stop a run whose entities repeat and whose counts are wrong."""
+    entities = t.entities(spark, folder)
+    frames = {
+        "uf": t.groups(spark, folder),
+        "municipio": entities.union(entities),
+        "alunos": t.integrated(spark, folder).withColumn(E.reached, F.col(E.assessed) + 1),
+        "meta_municipio": t.entity_targets(spark, folder),
+    }
+    try:
+        gate(check_all(silver_suite(E), frames))
+        failed = []
+    except QualityGateError as error:
+        failed = str(error).partition(": ")[2].split(", ")
+    return spark.createDataFrame([(name,) for name in failed], "rule string")
