@@ -365,7 +365,8 @@ def remove_repeats(
         base = materialise(base.withColumn("t", F.monotonically_increasing_id()), "numbered")
 
     every = segments(base, length=length, gram=gram)
-    repeated = every.groupBy("h").count().filter("count > 1").select("h")
+    # Written, so that the join reads two plain inputs and Spark can split a hash with very many rows.
+    repeated = materialise(every.groupBy("h").count().filter("count > 1").select("h"), "repeated")
     shared = materialise(every.join(repeated, "h"), "segments")
     firsts = materialise(
         shared.groupBy("h", "c").agg(F.min(F.struct("d", "t", "s")).alias("first"), F.max("w").alias("w"), F.count("*").alias("n")),
