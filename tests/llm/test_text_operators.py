@@ -81,7 +81,8 @@ def test_near_duplicates(docs, size):
     assert {g[2:] for g in got if g[0] is None} == {(None, True)}
 
 
-def test_loose_copies_of_one_text(spark):
+@pytest.mark.parametrize("family", [2, 64])
+def test_loose_copies_of_one_text(spark, family):
     """Copies that are near their source but not near each other, and others that are not near it."""
     import random
 
@@ -93,7 +94,7 @@ def test_loose_copies_of_one_text(spark):
         texts.append(" ".join(copy))
     table = [(k + 1, t, *[None] * 8) for k, t in enumerate(texts)] + [(100, " ".join(base), *[None] * 8)]
     want = corpus.components({r[0]: corpus.shingles(r[1], 2) for r in table})
-    got = near_dup.near_duplicates(corpus.table(spark, table), words=2)
+    got = near_dup.near_duplicates(corpus.table(spark, table), words=2, family=family)
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 

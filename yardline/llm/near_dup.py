@@ -6,9 +6,13 @@ they are almost independent, so a signature needs half the hash evaluations. Ban
 signature make candidates, and candidates are confirmed on the full sets.
 
 No pairs are made inside a group: (1) texts of equal sets are one node; (2) in each bucket all
-nodes are compared with its smallest one; (3) only buckets whose nodes then still lie in several
-components are gone through again, comparing nodes outside the largest component with those of
-other components. So every two nodes that share a bucket have been compared or are connected anyway.
+nodes are compared with the one that meets most others; (3) only buckets whose nodes then still
+lie in several components are gone through again, comparing nodes outside the largest component
+with those of other components; within a large family of loose copies that is done in blocks,
+without making rows of pairs. Shingles that no other such node has cannot be common to two of
+them, which bounds the similarity of each node and pair from above and rules out the many loose
+copies of one text. So every two nodes that share a bucket have been compared, are connected
+anyway or cannot be linked.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 
 from yardline.llm.components import components
 from yardline.llm.hashing import mix, numbers, shingle_set, word_hashes
-from yardline.llm.text import map_batches, materialise
+from yardline.llm.text import map_batches, materialise, ship_package
 
 #: 40 bands of 5 values miss a pair of similarity 0.8 with probability (1 - 0.8^5)^40, about 1e-7.
 PERMUTATIONS = 100
@@ -31,6 +35,9 @@ BAND_ROWS = 5
 #: more than eight standard deviations off.
 SKETCH_FLOOR = 0.55
 _BLOCK = 4096
+#: Open nodes from which a family is compared in blocks rather than by pairs, and nodes of a block.
+FAMILY = 64
+_FAMILY_BLOCK = 2048
 
 
 def min_max(shingles: np.ndarray, factor: np.ndarray, shift: np.ndarray) -> np.ndarray:
@@ -133,6 +140,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, *, key: str, text: str, words:
     sets = materialise(
         full_sets(chosen.join(concerned, "__node", "left_semi"), key="__node", text="__text", words=words).distinct(), "sets"
     )
+    return linked_pairs(pairs, sets, percent=percent)
+
+
+def linked_pairs(pairs: DataFrame, sets: DataFrame, *, percent: int) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
@@ -142,6 +153,74 @@ def confirmed(pairs: DataFrame, docs: DataFrame, *, key: str, text: str, words:
     return linked.filter(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
 
 
+def open_sets(docs: DataFrame, chosen: DataFrame, *, key: str, text: str, words: int) -> DataFrame:
+    """Full sets of the chosen nodes, written."""
+    chosen = materialise(chosen.select(F.col("node").alias("__node")), "chosen")
+    texts = docs.select(F.col(f"`{key}`").alias("__node"), F.col(f"`{text}`").alias("__text"))
+    sets = full_sets(texts.join(chosen, "__node", "left_semi"), key="__node", text="__text", words=words)
+    return materialise(sets.distinct(), "open-sets")
+
+
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """node, n (its shingles), s (those that another of the nodes has as well)."""
+    single = (
+        sets.select("node", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle").agg(F.count("*").alias("k"), F.min("node").alias("node")).filter("k = 1")
+        .groupBy("node").agg(F.count("*").alias("single"))
+    )
+    # Rows that share a key may differ in text: the smallest size and all shingles keep the bound safe.
+    sized = sets.groupBy("node").agg(F.min(F.size("shingles")).alias("n"), F.sum(F.size("shingles")).alias("s"))
+    return sized.join(single, "node", "left").select("node", "n", (F.col("s") - F.coalesce("single", F.lit(0))).alias("s"))
+
+
+def family_links(nodes: DataFrame, sets: DataFrame, *, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of one family that lie in different components.
+
+    The nodes outside a family's largest component are compared with all of the family, block by
+    block: a task holds two blocks of sets and gives one link for each node and component, so
+    neither a family nor its pairs ever are in one place or become rows.
+    """
+    largest = nodes.groupBy("family", "c").agg(F.count("*").alias("k")).groupBy("family").agg(
+        F.max(F.struct("k", "c"))["c"].alias("main"), F.sum("k").alias("members")
+    )
+    full = nodes.join(sets, "node").join(largest, "family")
+    blocks = F.ceil(F.col("members") / _FAMILY_BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    columns = ["family", "xb", "yb", "node", "c", "shingles"]
+    left = full.filter("c <> main").select("*", own.alias("xb"), every.alias("yb"))
+    right = full.select("*", own.alias("yb"), every.alias("xb"))
+    left, right = (side.select(*[F.col(c).alias(c) for c in columns]) for side in (left, right))
+
+    def run(x: pa.Table, y: pa.Table) -> pa.Table:
+        out_a, out_b = [], []
+        if x.num_rows and y.num_rows:
+            flat = y.column("shingles").combine_chunks()
+            edges = flat.offsets.to_numpy()
+            values = flat.values.to_numpy()[edges[0] : edges[-1]]
+            starts, size = edges[:-1] - edges[0], np.diff(edges)
+            known, place = np.unique(values, return_inverse=True)
+            y_nodes, y_parts = y.column("node").to_pylist(), y.column("c").to_numpy()
+            for node, part, mine in zip(x.column("node").to_pylist(), x.column("c").to_pylist(), x.column("shingles"), strict=True):
+                mine = mine.values.to_numpy()
+                at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+                mask = np.zeros(len(known), np.int32)
+                mask[at[known[at] == mine]] = 1
+                both = np.add.reduceat(mask[place], starts)
+                close = (100 * both >= percent * (len(mine) + size - both)) & (y_parts != part)
+                _, one = np.unique(y_parts[close], return_index=True)
+                for k in np.flatnonzero(close)[one].tolist():
+                    out_a.append(node)
+                    out_b.append(y_nodes[k])
+        kind = x.schema.field("node").type
+        return pa.table({"a": pa.array(out_a, kind), "b": pa.array(out_b, kind)})
+
+    kind = nodes.schema["node"].dataType.simpleString()
+    keys = ["family", "xb", "yb"]
+    ship_package(nodes.sparkSession)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, f"a {kind}, b {kind}")
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -152,6 +231,7 @@ def near_duplicates(
     permutations: int = PERMUTATIONS,
     band_rows: int = BAND_ROWS,
     floor: float = SKETCH_FLOOR,
+    family: int = FAMILY,
 ) -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable over links), kept.
 
@@ -176,29 +256,60 @@ def near_duplicates(
         "nodes",
     )
     places = nodes.select(F.explode("bands").alias("bucket"), "node").distinct()
-    leaders = places.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    placed = materialise(places.join(leaders.drop("n"), "bucket"), "buckets")
-    stars = placed.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    crowds = places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    crowded = materialise(places.join(crowds, "bucket"), "buckets")
+    # The node that meets most others leads its buckets: the source of many copies, if it is there.
+    weight = crowded.groupBy("node").agg(F.sum("n").alias("weight"))
+    leaders = crowded.join(weight, "node").groupBy("bucket").agg(
+        F.max(F.struct("weight", "node"))["node"].alias("leader")
+    )
+    led = materialise(crowded.select("bucket", "node").join(leaders, "bucket"), "led-buckets")
+    stars = materialise(
+        led.filter("node <> leader")
+        .select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(),
+        "stars",
+    )
+    # A node's family is the leader it meets most often.
+    met = led.groupBy("node", "leader").agg(F.count("*").alias("n"))
+    families = met.groupBy("node").agg(F.max(F.struct("n", "leader"))["leader"].alias("family"))
     first = materialise(
         confirmed(promising(stars, nodes, percent=percent, floor=floor), docs, **options, percent=percent), "links"
     )
     joined = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     # Buckets whose nodes are in several components yet.
-    labelled = placed.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
+    labelled = led.join(joined, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("c"))
     parts = labelled.groupBy("bucket", "c").agg(F.count("*").alias("n"))
     split = parts.groupBy("bucket").agg(
         F.max(F.struct("n", "c"))["c"].alias("main"), F.count("*").alias("parts")
     ).filter("parts > 1").drop("parts")
     open_places = materialise(labelled.join(split, "bucket"), "open-buckets")
-    outer = open_places.filter("c <> main").select("bucket", F.col("node").alias("a"), F.col("c").alias("ca"))
-    inner = open_places.select("bucket", F.col("node").alias("b"), F.col("c").alias("cb"), (F.col("c") == F.col("main")).alias("in_main"))
+    sets = open_sets(docs, open_places.select("node").distinct(), **options)
+    shared = shared_shingles(sets).filter(100 * F.col("s") >= percent * F.col("n"))
+    open_nodes = open_places.select("node", "c").distinct().join(shared, "node").join(families, "node")
+    crowd = open_nodes.groupBy("family").agg(F.count("*").alias("size")).filter(F.col("size") >= family)
+    open_nodes = materialise(
+        open_nodes.join(crowd, "family", "left").select("node", "c", "n", "s", "family", F.coalesce("size", F.lit(0)).alias("size")),
+        "open-nodes",
+    )
+    inside = family_links(open_nodes.filter("size > 0"), sets, percent=percent)
+    here = open_places.select("bucket", "node", "main").join(open_nodes, "node")
+    outer, inner = (
+        here.select("bucket", *[F.col(c).alias(c + side) for c in ("node", "c", "n", "s", "family", "size", "main")]) for side in "ab"
+    )
+    most = F.least("sa", "sb")
     rest = (
-        outer.join(inner, "bucket").filter("ca <> cb and (in_main or a < b)")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        outer.filter("ca <> maina").join(inner, "bucket")
+        .filter(
+            (F.col("ca") != F.col("cb"))
+            & ((F.col("cb") == F.col("mainb")) | (F.col("nodea") < F.col("nodeb")))
+            & ((F.col("familya") != F.col("familyb")) | (F.col("sizea") == 0))
+            & (100 * most >= percent * (F.col("na") + F.col("nb") - most))
+        )
+        .select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
     )
     rest = rest.join(stars, ["a", "b"], "left_anti")
-    second = confirmed(promising(rest, nodes, percent=percent, floor=floor), docs, **options, percent=percent)
+    second = linked_pairs(promising(rest, nodes, percent=percent, floor=floor), sets, percent=percent).union(inside)
     links = joined.select(F.col("node").alias("u"), F.col("component").alias("v")).union(second.select("a", "b")).union(
         member.select("node", "rep")
     )

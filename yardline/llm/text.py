@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import yardline
 from yardline.session import materialise, scratch_dir
 
-__all__ = ["SEPARATORS", "map_batches", "materialise", "read_table", "scratch_dir", "temp_name", "words"]
+__all__ = ["SEPARATORS", "map_batches", "materialise", "read_table", "scratch_dir", "ship_package", "temp_name", "words"]
 
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
