@@ -17,8 +17,11 @@ from yardline.llm import (
     token_files,
     warc,
 )
+from yardline.llm.oracles import ORACLES
 from yardline.llm.text import read_table
 
+__all__ = ["ORACLES", "QUERIES", "TOKENIZER"]
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -83,5 +86,3 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_token_files": op10_token_files,
 }
-
-ORACLES: dict[str, str] = {}
