@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from yardline.llm import quality_rules as rules
+from yardline.llm.decontaminate import MASKS, MIN_PERCENT, MIN_WORDS
 
 _SEP = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -97,9 +98,33 @@ select page_id, cast(n as bigint) as payload_bytes, {_BASE32} as payload_digest,
        case when page_id = top then null else top end as refers_to
 from b join o using (h)"""
 
+_TOKENS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+#: Every alignment with enough equal words, sought by joining words instead of seeds.
+DECONTAMINATION = f"""
+with d as (select doc_id, {_TOKENS} as ws from documents),
+b as (select distinct item_id, {_TOKENS} as ws from benchmark),
+dw as (select doc_id, len(ws) as n, unnest(range(len(ws))) as i, unnest(ws) as w from d),
+iw as (select item_id, len(ws) as m, unnest(range(len(ws))) as j, unnest(ws) as w from b where len(ws) >= {len(MASKS[0])}),
+aligned as (
+  select doc_id, item_id, i - j as shift, m, n, least(m, {MIN_WORDS}) as width, list(j) as js
+  from dw join iw using (w) group by all having 100 * count(*) >= {MIN_PERCENT} * least(m, {MIN_WORDS})),
+starts as (
+  select *, unnest(range(greatest(0, -shift), least(m, n - shift) - width + 1)) as a from aligned),
+good as (
+  select doc_id, item_id, shift, js, unnest(range(a, a + width)) as covered from starts
+  where 100 * len(list_filter(js, lambda x: x >= a and x < a + width)) >= {MIN_PERCENT} * width),
+told as (
+  select doc_id, item_id, shift, count(distinct covered) as n_words, cast(any_value(len(js)) as bigint) as n_equal
+  from good group by doc_id, item_id, shift)
+select doc_id, item_id, n_words, n_equal, cast(greatest(shift, 0) as bigint) as doc_word,
+       cast(greatest(-shift, 0) as bigint) as item_word
+from told qualify row_number() over (
+  partition by doc_id, item_id order by n_words desc, n_equal desc, greatest(shift, 0), greatest(-shift, 0)) = 1"""
+
 ORACLES = {
     "op3_chat_format": CHAT_FORMAT,
     "op4_near_duplicates": NEAR_DUPLICATES,
+    "op5_decontamination": DECONTAMINATION,
     "op6_quality_rules": QUALITY_RULES,
     "op7_warc": WARC,
 }
