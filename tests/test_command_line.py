@@ -11,7 +11,7 @@ def test_run_with_landed_events(spark, tmp_path):
     root, seeds = str(tmp_path / "lake"), write_seeds(tmp_path / "csv")
     (tmp_path / "events").mkdir()
     (tmp_path / "events" / "a.json").write_text(EVENT + "\n")
-    main(["land", "--root", root, "--events", str(tmp_path / "events"), "--once"])
+    main(["land", "--root", root, "--events", str(tmp_path / "events"), "--ingestion-date", "2026-01-01", "--once"])
     main(["run", "--root", root, "--seeds-dir", seeds, "--ingestion-date", "2026-01-01"])
     fact = Lake(root).read(spark, "gold", "fato_alfabetizacao")
     assert rows(fact.filter("ano = 2024 and sigla_uf = 'SP'"), "qtd_avaliados") == [(1200,)]
