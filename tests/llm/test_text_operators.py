@@ -166,6 +166,28 @@ def test_benchmark_overlaps(spark, broadcast):
     assert sorted(r["doc_id"] for r in left.collect()) == [k for k in range(8) if not any(g[0] == k for g in got)]
 
 
+@pytest.mark.parametrize("words", [8, 9, 10, 11, 12])
+def test_overlaps_under_all_substitutions(spark, words):
+    """Whichever words the rule lets differ, the copy is found."""
+    from itertools import combinations
+
+    lost = words - -(-words * decontaminate.MIN_PERCENT // 100)
+    for k in range(lost + 1):
+        assert decontaminate.unseeded(decontaminate.MASKS, words, k) == []
+    item = [f"i{k}" for k in range(words)]
+    patterns = list(combinations(range(words), lost))
+    texts = [" ".join("other" if j in p else w for j, w in enumerate(item)) for p in patterns]
+    around = [*texts, *(f"before it {t} and after" for t in texts)]
+    too_far = " ".join("other" if j <= lost else w for j, w in enumerate(item))
+    docs = corpus.table(spark, [(k, t, *[None] * 8) for k, t in enumerate([*around, too_far])])
+    # Items that are longer hold the same words at their end.
+    items = [" ".join(item), " ".join([*(f"x{k}" for k in range(20)), *item])]
+    bench = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    got = rows(decontaminate.overlaps(docs, bench), "item_id", "doc_id", "n_equal")
+    want = [(k, d, words - lost) for k in range(2 if words == 12 else 1) for d in range(len(around))]
+    assert got == want
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert quality_rules.score_rules(empty).count() == 0

@@ -9,13 +9,16 @@ is shuffled while the benchmark's seeds fit a stated size.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yardline.llm.text import materialise
 
-#: Places that count (1) and places that are ignored (0); all masks are of one length.
-MASKS = ("11101101", "10110111", "11011011")
+#: Places that count (1) and places that are ignored (0); all masks are of one length. Whichever words an overlap of
+#: MIN_WORDS, or a whole item from the masks' length on, may differ in at MIN_PERCENT, one of these is laid beside them.
+MASKS = ("11111000", "11101100", "10010111", "01110011")
 #: So many aligned words make a window, and so many percent of them must be equal.
 MIN_WORDS = 12
 MIN_PERCENT = 80
@@ -28,6 +31,12 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
+def unseeded(masks: tuple[str, ...], words: int, changed: int) -> list[tuple[int, ...]]:
+    """Choices of ``changed`` among ``words`` aligned words whose replacement leaves no seed in common."""
+    seeds = [{i + k for k, x in enumerate(m) if x == "1"} for m in masks for i in range(words - len(m) + 1)]
+    return [c for c in combinations(range(words), changed) if not any(s.isdisjoint(c) for s in seeds)]
+
+
 def _starts(word: str, span: int) -> Column:
     n = F.size(word)
     return F.when(n >= span, F.sequence(F.lit(0), n - span)).otherwise(F.array().cast("array<int>"))
