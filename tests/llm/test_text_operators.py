@@ -188,6 +188,24 @@ def test_overlaps_under_all_substitutions(spark, words):
     assert got == want
 
 
+@pytest.mark.parametrize("broadcast", [0, 10**6])
+def test_items_of_few_words(spark, broadcast):
+    """Items of 1 to 7 words are found by the same rule: exactly up to 4 words, with one word replaced from 5 on."""
+    items = {n: [f"s{n}x{k}" for k in range(n)] for n in range(1, 8)} | {0: [], 20: [f"long{k}" for k in range(20)]}
+    texts, want = ["nothing of it here", "", None, " ".join(items[20])], {(3, 20)}
+    for n in range(1, 8):
+        for gone in [(), *((k,) for k in range(n)), *((k, k + 1) for k in range(n - 1))]:
+            copy = ["other" if k in gone else w for k, w in enumerate(items[n])]
+            for text in (" ".join(copy), f"Before, {' '.join(copy).upper()}! After"):
+                if len(gone) <= (0 if n < 5 else 1):
+                    want.add((len(texts), n))
+                texts.append(text)
+    docs = corpus.table(spark, [(k, t, *[None] * 8) for k, t in enumerate(texts)])
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in items.items()], "item_id long, text string")
+    found = decontaminate.overlaps(docs, bench, max_broadcast=broadcast).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want)
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert quality_rules.score_rules(empty).count() == 0

@@ -9,6 +9,7 @@ is shuffled while the benchmark's seeds fit a stated size.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -37,24 +38,36 @@ def unseeded(masks: tuple[str, ...], words: int, changed: int) -> list[tuple[int
     return [c for c in combinations(range(words), changed) if not any(s.isdisjoint(c) for s in seeds)]
 
 
+def _masks_of(width: int, masks: tuple[str, ...], min_percent: int) -> tuple[str, ...]:
+    """The masks for windows of a width; for those shorter than the masks, all that leave out as many words as may differ."""
+    if width >= len(masks[0]):
+        return masks
+    lost = width - -(-width * min_percent // 100)
+    return tuple("".join("0" if k in c else "1" for k in range(width)) for c in combinations(range(width), lost))
+
+
 def _starts(word: str, span: int) -> Column:
     n = F.size(word)
     return F.when(n >= span, F.sequence(F.lit(0), n - span)).otherwise(F.array().cast("array<int>"))
 
 
-def _seeds(word: str, at: str, masks: tuple[str, ...]) -> Column:
-    """One hash per mask laid at a place."""
+def _seeds(word: str, at: str, masks: tuple[str, ...], span: int) -> Column:
+    """One hash per mask laid at a place; null for masks longer than ``span`` that the text ends inside of."""
     w, i = F.col(word), F.col(at)
-    return F.array(*[
-        F.xxhash64(F.lit(number), *[w[i + k] for k, x in enumerate(mask) if x == "1"]) for number, mask in enumerate(masks)
-    ])
+
+    def seed(mask: str) -> Column:
+        found = F.xxhash64(F.lit(mask), *[F.get(w, i + k) for k, x in enumerate(mask) if x == "1"])
+        return found if len(mask) == span else F.when(i + len(mask) <= F.size(w), found)
+
+    return F.array(*map(seed, masks))
 
 
 def _seeded(frame: DataFrame, word: str, at: str, masks: tuple[str, ...], *keep: str) -> DataFrame:
     """A row for each seed. The outer form keeps Spark from testing, and so making, the words twice."""
-    span = len(masks[0])
+    span = min(map(len, masks))
     placed = frame.select(*keep, word, F.explode_outer(_starts(word, span)).alias(at)).filter(F.col(at).isNotNull())
-    return placed.select(*keep, word, at, F.explode(_seeds(word, at, masks)).alias("seed"))
+    found = placed.select(*keep, word, at, F.explode(_seeds(word, at, masks, span)).alias("seed"))
+    return found if max(map(len, masks)) == span else found.filter(F.col("seed").isNotNull())
 
 
 def _low(shift: Column) -> Column:
@@ -91,23 +104,28 @@ def overlaps(
     They overlap if in some alignment a window of ``min_words`` words (of the whole item, where
     it is shorter) has at least ``min_percent`` equal words. Of the alignments of a pair the one
     with most words inside such windows is told: n_words of them, n_equal equal words in the
-    alignment, doc_word and item_word where it begins. Items shorter than the masks are not
-    looked for. Null and empty texts have no words; null keys are looked up like others and
+    alignment, doc_word and item_word where it begins. Windows shorter than the masks are sought
+    by all their words but those that may differ. Null and empty texts have no words; null keys are looked up like others and
     pair as one document; repeated rows and items give one pair; empty tables give an empty result;
     other columns are not read.
     """
-    span = len(masks[0])
     items = materialise(
         benchmark.select(F.col(f"`{item}`").alias("item"), tokens(F.col(f"`{item_text}`")).alias("iw")).distinct(),
         "benchmark",
     )
-    items = items.filter(F.size("iw") >= span)
-    sought = items.withColumn("m", F.size("iw"))
+    items = items.filter(F.size("iw") > 0)
+    sought = items.select("*", F.size("iw").alias("m"), F.least(F.lit(min_words), F.size("iw")).alias("width"))
+    # Those that the benchmark has, so that texts are not looked through for others.
+    widths = sorted(r["width"] for r in sought.select("width").distinct().collect())
+    groups: dict[tuple[str, ...], list[int]] = {}
+    for width in widths or [min_words]:
+        groups.setdefault(_masks_of(width, masks, min_percent), []).append(width)
+    seeded = [_seeded(sought.filter(F.col("width").isin(w)), "iw", "j", laid, "item", "m") for laid, w in groups.items()]
     seeds = materialise(
-        _seeded(sought, "iw", "j", masks, "item", "m").select("seed", "item", "j", "m").distinct(), "benchmark-seeds"
+        reduce(DataFrame.unionByName, seeded).select("seed", "item", "j", "m").distinct(), "benchmark-seeds"
     )
     worded = docs.select(F.col(f"`{key}`").alias("doc"), tokens(F.col(f"`{text}`")).alias("w"))
-    hashed = _seeded(worded, "w", "i", masks, "doc")
+    hashed = _seeded(worded, "w", "i", tuple(mask for laid in groups for mask in laid), "doc")
     shift, n, m = F.col("shift"), F.size("w"), F.col("m")
     part = F.slice("w", _low(shift) + 1, _length(shift, n, m)).alias("part")
     if seeds.count() <= max_broadcast:
