@@ -206,6 +206,17 @@ def test_items_of_few_words(spark, broadcast):
     assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want)
 
 
+def test_rows_of_one_key_are_judged_one_by_one(spark):
+    leak, clean = corpus.prose(60, 30), [corpus.prose(61 + k, 40) for k in range(4)]
+    table = [(None, leak), (None, clean[0]), (None, None), (1, leak), (1, clean[1]), (1, clean[1]), (2, clean[2]), (3, leak), (4, clean[3])]
+    docs = corpus.table(spark, [(*r, *[None] * 8) for r in table])
+    bench = spark.createDataFrame([(0, leak)], "item_id long, text string")
+    left = decontaminate.drop_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    key = lambda r: (r[0] or 0, r[1] or "")
+    assert sorted((tuple(r)[:2] for r in left.collect()), key=key) == sorted((r for r in table if r[1] != leak), key=key)
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert quality_rules.score_rules(empty).count() == 0

@@ -15,7 +15,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yardline.llm.text import materialise
+from yardline.llm.text import materialise, temp_name
 
 #: Places that count (1) and places that are ignored (0); all masks are of one length. Whichever words an overlap of
 #: MIN_WORDS, or a whole item from the masks' length on, may differ in at MIN_PERCENT, one of these is laid beside them.
@@ -176,8 +176,17 @@ def overlaps(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """Documents that overlap with no item; all columns stay. Found ones of null key go too."""
+    """Documents that overlap with no item; all columns stay.
+
+    Rows of null or repeated keys are judged one by one, by a written number.
+    """
+    odd = docs.groupBy(F.col(f"`{key}`").alias("k")).count().filter("k is null or count > 1")
+    rows, by = docs, key
+    if not odd.isEmpty():
+        by = temp_name("row")
+        rows = materialise(docs.withColumn(by, F.monotonically_increasing_id()), "numbered")
     found = materialise(
-        overlaps(docs, benchmark, key=key, **options).select(F.col(f"`{key}`").alias("__key")).distinct(), "contaminated"
+        overlaps(rows, benchmark, key=by, **options).select(F.col(f"`{by}`").alias("__key")).distinct(), "contaminated"
     )
-    return docs.join(found, F.col(f"`{key}`").eqNullSafe(F.col("__key")), "left_anti")
+    left = rows.join(found, F.col(f"`{by}`") == F.col("__key"), "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
