@@ -123,6 +123,23 @@ def test_repeated_strings(docs, group):
     assert sorted(g[2] for g in got if g[0] == 4) == sorted(w[2] for w in want if w[0] == 4)
 
 
+def test_one_string_in_many_contexts_is_never_in_one_place(spark, monkeypatch):
+    """Windows inside a notice agree in all hashes, and the contexts make every segment different."""
+    notice = corpus.prose(95, 40)[:120]
+    table = [(k, f"{corpus.prose(1000 + k, 30)}{notice}{corpus.prose(2000 + k, 30)}", *[None] * 8) for k in range(80)]
+    gathered, whole = [], suffix_dedup.suffix_spans
+
+    def spied(wanted, **options):
+        gathered.append(max((r["count"] for r in wanted.groupBy("g").count().collect()), default=0))
+        return whole(wanted, **options)
+
+    monkeypatch.setattr(suffix_dedup, "suffix_spans", spied)
+    got = rows(suffix_dedup.remove_repeats(corpus.table(spark, table), group=8), "row.doc_id", "n_removed", "n_spans", "kept_sha256")
+    plain = corpus.without_repeats([r[1].encode() for r in table], 100)
+    assert got == [(k, n, runs, hashlib.sha256(left).hexdigest()) for k, (n, runs, left) in enumerate(plain)]
+    assert sum(n >= 120 for n, _, _ in plain) == 79 and max(gathered) <= 8
+
+
 def test_repeats_leave_other_columns(docs):
     done = suffix_dedup.drop_repeats(docs.filter("doc_id in (0, 1, 4)").dropDuplicates(["doc_id"]))
     found = {r["doc_id"]: r for r in done.collect()}

@@ -13,12 +13,16 @@ hash of their k-grams, so suffixes are ordered within groups of windows that sha
    each group are put in suffix order, and the nearest smaller positions before and after each
    one there give its longest previous factor. Groups of very many segments (short common strings
    in many contexts) are split by more of their windows' least hashes, on which equal windows agree as well.
+4. Pieces of split groups are aggregated like segments. Groups that still hold very many different pieces
+   (a string whose windows agree in their hashes, while its contexts differ) are cut into single
+   windows, and those are aggregated: what is gathered in one place is always bounded.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -224,12 +228,40 @@ def suffix_spans(wanted: DataFrame, *, length: int) -> DataFrame:
     return map_batches(grouped, run, f"d {kind}, t bigint, span struct<a:int,b:int>")
 
 
-def _fetched(joined: DataFrame, *, length: int, gram: int) -> DataFrame:
-    """The asked-for segments (g, d, t, s, bytes) of each text, those of large groups in parts."""
+def _fetched(joined: DataFrame, *, length: int) -> DataFrame:
+    """The asked-for segments (g, d, t, s, bytes) of each text."""
+    kind = joined.schema["d"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for d, t, body, asked in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                data = body.encode()
+                rows += [(x["h"], d, t, x["s"], data[x["s"] : x["s"] + x["w"] + length - 1]) for x in asked]
+                if len(rows) > 5000:
+                    yield _batch(rows, batch.schema.field(0).type)
+                    rows = []
+            if rows:
+                yield _batch(rows, batch.schema.field(0).type)
+
+    return map_batches(
+        joined.select("d", "t", "body", "asked"), run, f"g bigint, d {kind}, t bigint, s int, bytes binary"
+    )
+
+
+def _pieces(joined: DataFrame, *, length: int, gram: int) -> DataFrame:
+    """The asked-for segments in pieces h, c (hash of the bytes), d, t, s, w.
+
+    A piece is a run of windows that agree in their ``depth`` least hashes, which h tells of; of depth 0
+    it is a single window, and h stays.
+    """
     kind = joined.schema["d"].dataType.simpleString()
 
     def parts(data: bytes, h: int, depth: int) -> Iterator[tuple[int, int, int]]:
-        """Group, first and last window of runs that agree in their ``depth`` least hashes."""
+        """Group, first and last window of each piece."""
+        if depth == 0:
+            yield from ((h, a, a + 1) for a in range(len(data) - length + 1))
+            return
         hashes = gram_hashes(np.frombuffer(data, np.uint8), gram)
         views = np.lib.stride_tricks.sliding_window_view(hashes, length - gram + 1)
         depth = min(depth, views.shape[1])
@@ -243,26 +275,32 @@ def _fetched(joined: DataFrame, *, length: int, gram: int) -> DataFrame:
                 yield int(g[a].view(np.int64)), at + a, at + b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.uint64(), kind, pa.int64(), pa.int32(), pa.int32()]
+            columns = [pa.array([r[k] for r in rows], x) for k, x in enumerate(kinds)]
+            columns[1] = pa.array(columns[1].to_numpy().view(np.int64))
+            return pa.RecordBatch.from_arrays(columns, names=["h", "c", "d", "t", "s", "w"])
+
         with np.errstate(over="ignore"):
             for batch in batches:
                 rows = []
                 for d, t, body, asked in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                     data = body.encode()
                     for x in asked:
-                        s, w, h, depth = x["s"], x["w"], x["h"], x["depth"]
-                        piece = data[s : s + w + length - 1]
-                        if depth < 2:
-                            rows.append((h, d, t, s, piece))
-                        else:
-                            rows += [(g, d, t, s + a, piece[a : b + length - 1]) for g, a, b in parts(piece, h, depth)]
-                    if len(rows) > 5000:
-                        yield _batch(rows, batch.schema.field(0).type)
-                        rows = []
+                        s = x["s"]
+                        piece = data[s : s + x["w"] + length - 1]
+                        rows += [
+                            (g, xxhash.xxh3_64_intdigest(piece[a : b + length - 1]), d, t, s + a, b - a)
+                            for g, a, b in parts(piece, x["h"], x["depth"])
+                        ]
+                        if len(rows) > 5000:
+                            yield made(rows, batch.schema.field(0).type)
+                            rows = []
                 if rows:
-                    yield _batch(rows, batch.schema.field(0).type)
+                    yield made(rows, batch.schema.field(0).type)
 
     return map_batches(
-        joined.select("d", "t", "body", "asked"), run, f"g bigint, d {kind}, t bigint, s int, bytes binary"
+        joined.select("d", "t", "body", "asked"), run, f"h bigint, c bigint, d {kind}, t bigint, s int, w int"
     )
 
 
@@ -336,6 +374,31 @@ def _where(keep: list[bool], column: pa.Array) -> pa.Array:
     return column.take(pa.array([k if yes else None for k, yes in enumerate(keep)], pa.int64()))
 
 
+def _aggregated(parts: DataFrame, name: str, *, length: int) -> tuple[DataFrame, DataFrame]:
+    """Of written parts h, c, d, t, s, w: one row of equal ones (h, c, first, w, n), and spans (d, t, span) of the others."""
+    firsts = materialise(
+        parts.groupBy("h", "c").agg(F.min(F.struct("d", "t", "s")).alias("first"), F.max("w").alias("w"), F.count("*").alias("n")),
+        name,
+    )
+    copies = (
+        parts.join(firsts.filter("n > 1").select("h", "c", "first"), ["h", "c"])
+        .filter(~F.struct("d", "t", "s").eqNullSafe(F.col("first")))
+        .select("d", "t", F.struct(F.col("s").alias("a"), (F.col("s") + F.col("w") + length - 1).alias("b")).alias("span"))
+    )
+    return firsts, copies
+
+
+def _asked(firsts: DataFrame, group: int, beyond: Callable[[Column], Column]) -> DataFrame:
+    """d, t and the segments (s, w, h, depth) asked of that text: depth 1 in groups of up to ``group`` different ones."""
+    sizes = firsts.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1")
+    depth = F.when(F.col("size") <= group, 1).otherwise(beyond(F.col("size"))).cast("int")
+    return (
+        firsts.join(sizes.select("h", depth.alias("depth")), "h")
+        .groupBy(F.col("first.d").alias("d"), F.col("first.t").alias("t"))
+        .agg(F.collect_list(F.struct(F.col("first.s").alias("s"), "w", "h", "depth")).alias("asked"))
+    )
+
+
 def remove_repeats(
     docs: DataFrame,
     *,
@@ -368,22 +431,8 @@ def remove_repeats(
     # Written, so that the join reads two plain inputs and Spark can split a hash with very many rows.
     repeated = materialise(every.groupBy("h").count().filter("count > 1").select("h"), "repeated")
     shared = materialise(every.join(repeated, "h"), "segments")
-    firsts = materialise(
-        shared.groupBy("h", "c").agg(F.min(F.struct("d", "t", "s")).alias("first"), F.max("w").alias("w"), F.count("*").alias("n")),
-        "distinct-segments",
-    )
-    copies = (
-        shared.join(firsts.filter("n > 1").select("h", "c", "first"), ["h", "c"])
-        .filter(~F.struct("d", "t", "s").eqNullSafe(F.col("first")))
-        .select("d", "t", F.struct(F.col("s").alias("a"), (F.col("s") + F.col("w") + length - 1).alias("b")).alias("span"))
-    )
-    sizes = firsts.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1")
-    depth = F.when(F.col("size") <= group, 1).otherwise(2 + F.ceil(F.log2(F.col("size") / group))).cast("int")
-    asked = (
-        firsts.join(sizes.select("h", depth.alias("depth")), "h")
-        .groupBy(F.col("first.d").alias("d"), F.col("first.t").alias("t"))
-        .agg(F.collect_list(F.struct(F.col("first.s").alias("s"), "w", "h", "depth")).alias("asked"))
-    )
+    firsts, copies = _aggregated(shared, "distinct-segments", length=length)
+    asked = _asked(firsts, group, lambda size: 2 + F.ceil(F.log2(size / group)))
     copied = copies.groupBy("d", "t").agg(F.collect_list("span").alias("spans"))
 
     def on(other: DataFrame, a: str, b: str) -> Column:
@@ -402,7 +451,28 @@ def remove_repeats(
     columns = ["row", *T.StructType.fromDDL(_RESULT).fieldNames()]
     closed = state.filter("n_bytes is not null").select(*columns)
     still = state.filter("n_bytes is null")
-    found = suffix_spans(_fetched(still, length=length, gram=gram), length=length)
+    small, large = F.filter("asked", lambda x: x["depth"] == 1), F.filter("asked", lambda x: x["depth"] != 1)
+    wanted = still.select("d", "t", "body", small.alias("asked"))
+    split = still.select("d", "t", "body", large.alias("asked")).filter(F.size("asked") > 0)
+    spans = []
+    if not split.isEmpty():
+        def again(asks: DataFrame, which: Column) -> DataFrame:
+            """Texts with what is asked of them after the split."""
+            some = asks.select("d", "t", which.alias("asked")).filter(F.size("asked") > 0)
+            return split.alias("x").join(some.alias("y"), on(some, "x", "y")).select("x.d", "x.t", "body", "y.asked")
+
+        def repeats(pieces: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+            every = materialise(pieces, f"all-{name}")
+            twice = materialise(every.groupBy("h").count().filter("count > 1").select("h"), f"repeated-{name}")
+            return _aggregated(materialise(every.join(twice, "h"), name), f"distinct-{name}", length=length)
+
+        distinct, equal = repeats(_pieces(split, length=length, gram=gram), "pieces")
+        asks = materialise(_asked(distinct, group, lambda size: F.lit(0)), "asked-pieces")
+        _, same = repeats(_pieces(again(asks, large), length=length, gram=gram), "windows")
+        spans = [equal, same]
+        wanted = wanted.unionByName(again(asks, small))
+    found = suffix_spans(_fetched(wanted, length=length), length=length)
+    found = reduce(DataFrame.unionByName, spans, found)
     more = found.groupBy("d", "t").agg(F.collect_list("span").alias("more"))
     both = still.alias("x").join(more.alias("y"), on(more, "x", "y"), "left").select(
         "row", "x.d", "x.t", "body",
