@@ -35,6 +35,24 @@ def test_main_text_of_a_page(body, text):
     assert html_text.Page(page(body)).text(None) == text
 
 
+@pytest.mark.parametrize(
+    "inside",
+    [
+        "<img alt=Children's src=x>", "<img alt = Children's src='x>y'>", "<div><select><option>No</div>", "<div><object data=x></div>",
+        "<div><canvas></div>", "<div><audio></div>", "<div><video><source src=x></div>", "<div><svg><path d='M0'></div>",
+        "<div><math></div>", "<div><template></div>", "<img alt=a='b src=x>",
+    ],
+)
+def test_text_after_odd_markup_stays(inside):
+    body = f"<article><p>One sentence before it.</p>{inside}<p>We don't lose <b title='a>b'>this</b>, or that.</p></article>"
+    assert html_text.Page(page(body)).text(None) == "One sentence before it. We don't lose this, or that."
+
+
+def test_text_between_an_open_element_and_another_of_its_kind_stays():
+    body = "<article><div><svg></div><p>It stays here.</p><svg><path></svg><p>So does this.</p><video><p>No video</p></video></article>"
+    assert html_text.Page(page(body)).text(None) == "It stays here. So does this."
+
+
 def test_host_votes_decide(spark):
     """A page on which another container is larger follows the host's path."""
     usual = [page(f"<div class='a1'><p>{corpus.prose(70 + k, 40)}</p></div><div class='b'><p>Short note here.</p></div>") for k in range(5)]

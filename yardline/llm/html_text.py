@@ -23,7 +23,7 @@ from yardline.llm.text import map_batches, materialise
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>])*+)>""",
+    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)|[^>])*+)>""",
     re.DOTALL,
 )
 _CLASS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -34,6 +34,8 @@ _HIDDEN = re.compile(
 RAW = frozenset("script style noscript template svg math iframe object canvas audio video head select textarea".split())
 #: Elements around an article rather than in it.
 OUTSIDE = frozenset("nav header footer aside form menu dialog button label fieldset".split())
+#: Those whose content is no markup: it ends with their own end tag only.
+VERBATIM = frozenset("script style textarea iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
@@ -157,6 +159,11 @@ class Page:
             if self._links:
                 self._linked += len(data)
 
+    def _closes_around(self, inner: str) -> bool:
+        """Whether an element around the last one ends in this piece of source."""
+        ends, starts = (re.findall(rf"<{x}([a-zA-Z][^\s/>]*)", inner.lower()) for x in ("/", ""))
+        return any(ends.count(n.tag) > starts.count(n.tag) for n in self._stack[1:-1] if n.tag in ends)
+
     def _read(self, source: str) -> None:
         at = 0
         while found := _TOKEN.search(source, at):
@@ -176,6 +183,8 @@ class Page:
                 close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                 if tag == "head" and close is None:
                     close = re.compile(r"(?=<body\b)", re.I).search(source, at)
+                if tag not in VERBATIM and (close is None or self._closes_around(source[at : close.start()])):
+                    continue  # an ordinary cut element, closed with its parent
                 at = close.end() if close else len(source)
                 self._pop(len(self._stack) - 1)
         self._text(source[at:])
