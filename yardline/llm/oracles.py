@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from yardline.llm import quality_rules as rules
 from yardline.llm.decontaminate import MASKS, MIN_PERCENT, MIN_WORDS
+from yardline.llm.merkle import FAN
 
 _SEP = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -121,10 +122,82 @@ select doc_id, item_id, n_words, n_equal, cast(greatest(shift, 0) as bigint) as
 from told qualify row_number() over (
   partition by doc_id, item_id order by n_words desc, n_equal desc, greatest(shift, 0), greatest(-shift, 0)) = 1"""
 
+#: Unsigned crc32 of a text of decimal digits: each byte goes in by eight shifts.
+_POLYNOMIAL = 0xEDB88320
+_CRC32 = f"""xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ord(c)::bigint)),
+  lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda b, i: xor(b >> 1, {_POLYNOMIAL} * (b & 1)))), 4294967295::bigint)"""
+
+
+def _merkle_field(value: str) -> str:
+    return f"coalesce(octet_length(encode(cast({value} as varchar))) || ':' || cast({value} as varchar), '-')"
+
+
+def _merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_merkle_field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+#: Enough for 8^12 rows and groups.
+_HEIGHT = 12
+
+
+def _merkle_tree(name: str, leaves: str) -> str:
+    """Levels name_0, name_1, ... of (grp, pos, h, n) with the siblings before and after each node."""
+    levels = [f"{name}_0 as ({leaves})"]
+    for k in range(_HEIGHT):
+        run = f"partition by grp, pos // {FAN} order by pos"
+        levels.append(
+            f"""{name}_s{k} as (select *,
+              case when n > 1 then coalesce(string_agg(h, '') over ({run} rows between unbounded preceding and 1 preceding), '') else '' end as before,
+              case when n > 1 then coalesce(string_agg(h, '') over ({run} rows between 1 following and unbounded following), '') else '' end as after
+              from {name}_{k})"""
+        )
+        levels.append(
+            f"""{name}_{k + 1} as (select grp, pos // {FAN} as pos,
+              case when n > 1 then sha256(string_agg(h, '' order by pos)) else any_value(h) end as h,
+              cast(ceil(n / {FAN}) as bigint) as n from {name}_s{k} group by grp, pos // {FAN}, n)"""
+        )
+    return ",\n".join(levels)
+
+
+def _steps(name: str) -> str:
+    """Every leaf's siblings, level by level."""
+    joins = " ".join(
+        f"join {name}_s{k} s{k} on s{k}.grp is not distinct from l.grp and s{k}.pos = l.pos // {FAN**k}" for k in range(1, _HEIGHT)
+    )
+    listed = ", ".join(f"{{'b': s{k}.before, 'a': s{k}.after, 'up': s{k}.n > 1}}" for k in range(1, _HEIGHT))
+    return f"select l.grp, l.pos, l.h, [{{'b': l.before, 'a': l.after, 'up': l.n > 1}}, {listed}] as steps from {name}_s0 l {joins}"
+
+
+MERKLE_MANIFEST = f"""
+with d as (
+  select doc_id, lang, {_merkle_leaf('text')} as leaf,
+         case when {_CRC32} % 3 = 0
+              then {_merkle_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} end as changed
+  from documents),
+placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n from d),
+{_merkle_tree('g', 'select lang as grp, pos, leaf as h, n from placed')},
+{_merkle_tree('t', f"select '' as grp, row_number() over (order by encode(grp) nulls first) - 1 as pos, h, count(*) over () as n from g_{_HEIGHT}")},
+inner_ as ({_steps('g')}),
+outer_ as ({_steps('t')}),
+named as (select grp as lang, h as subroot, row_number() over (order by encode(grp) nulls first) - 1 as place from g_{_HEIGHT}),
+whole as (
+  select p.doc_id, p.leaf, p.changed, subroot, (select h from t_{_HEIGHT}) as root,
+         list_filter(i.steps || o.steps, lambda s: s.up) as steps
+  from placed p join inner_ i on i.grp is not distinct from p.lang and i.pos = p.pos
+  join named on named.lang is not distinct from p.lang join outer_ o on o.pos = place),
+told as (
+  select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s.b || s.a), '')) as proof_sha256,
+         list_reduce(list_prepend({{'b': '', 'a': coalesce(changed, leaf), 'up': true}}, steps),
+                     lambda x, s: {{'b': '', 'a': sha256(s.b || x.a || s.a), 'up': true}}).a as folded_root
+  from whole)
+select *, folded_root = root as verified from told"""
+
 ORACLES = {
     "op3_chat_format": CHAT_FORMAT,
     "op4_near_duplicates": NEAR_DUPLICATES,
     "op5_decontamination": DECONTAMINATION,
     "op6_quality_rules": QUALITY_RULES,
     "op7_warc": WARC,
+    "op13_merkle_manifest": MERKLE_MANIFEST,
 }

@@ -10,12 +10,14 @@ from yardline.llm import (
     chat_format,
     decontaminate,
     html_text,
+    merkle,
     near_dup,
     quality_knn,
     quality_rules,
     suffix_dedup,
     token_files,
     warc,
+    whitening,
 )
 from yardline.llm.oracles import ORACLES
 from yardline.llm.text import read_table
@@ -74,6 +76,15 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.with_checksums(token_files.write_and_read(docs, public_tokenizers.path(TOKENIZER)))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, folder, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return merkle.tampered_proofs(docs, ["doc_id", "source", "lang", "n_chars", "text"])
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_quality_knn": op2_quality_knn,
@@ -85,4 +96,6 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_bpe": op9_bpe,
     "op10_token_files": op10_token_files,
+    "op11_whitening": op11_whitening,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
