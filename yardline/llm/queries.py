@@ -14,6 +14,7 @@ from yardline.llm import (
     near_dup,
     quality_knn,
     quality_rules,
+    secret_spans,
     suffix_dedup,
     token_files,
     warc,
@@ -80,6 +81,10 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(read_table(spark, folder, "embeddings"))
 
 
+def op12_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_spans.digests(secret_spans.find_secrets(read_table(spark, folder, "documents")))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return merkle.tampered_proofs(docs, ["doc_id", "source", "lang", "n_chars", "text"])
@@ -97,5 +102,6 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_token_files": op10_token_files,
     "op11_whitening": op11_whitening,
+    "op12_secret_spans": op12_secret_spans,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
