@@ -32,7 +32,7 @@ from yardline.plans.pipeline import (
 )
 from yardline.plans.suite import QualityGateError, gate, silver_suite
 from yardline.session import scratch_dir
-from yardline.sources import readers
+from yardline.sources import arrow_export, readers
 from yardline.sources.lake import (
     Lake,
     write_csv,
@@ -126,6 +126,22 @@ def warehouse_scan(spark: SparkSession, folder: str) -> DataFrame:
     return readers.read_source(spark, spec, "", use_warehouse=True)
 
 
+@query(sql("select * from entities where group_id = 7 and entity_id >= 10", "entities"))
+def warehouse_connector_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The same source exported by executors as Arrow files of more columns, read by the connector.
+
+    Only the declared columns are read, and the conditions are applied in the reading tasks.
+    """
+    path = scratch_dir(spark, "export")
+    entities = t.entities(spark, folder).withColumn("extra", F.lit("x" * 20))
+    arrow_export.register(spark)
+    writer = entities.repartition(3).write.format(arrow_export.NAME).mode("append")
+    writer.option("path", path).option("table", "directory.entities").save()
+    spec = dataclasses.replace(entity_spec(E), warehouse_table="directory.entities")
+    rows = readers.read_source(spark, spec, "", arrow_export.NAME, {"path": path, "split_bytes": "4096"})
+    return rows.filter(f"{E.group} = 7 and {E.entity} >= 10")
+
+
 # --- source preparation ---------------------------------------------------------------
 
 

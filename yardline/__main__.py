@@ -34,6 +34,13 @@ def _year_path(text: str) -> tuple[int, str]:
     return int(year), path
 
 
+def _option(text: str) -> tuple[str, str]:
+    key, found, value = text.partition("=")
+    if not (key and found):
+        raise argparse.ArgumentTypeError(f"{text!r} is not KEY=VALUE")
+    return key, value
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(
         prog="yardline", description=__doc__, formatter_class=argparse.RawTextHelpFormatter
@@ -47,7 +54,10 @@ def parser() -> argparse.ArgumentParser:
         stage.add_argument("--ingestion-date", default=today, type=_date)
         stage.add_argument("--seeds-dir", default="", help="folder of the source CSV files")
         stage.add_argument("--use-warehouse", action="store_true", help="read catalog tables")
-        stage.add_argument("--warehouse-format", help="read sources with this connector")
+        stage.add_argument("--warehouse-format", help="read sources with this connector, such as arrow_export")
+        stage.add_argument(
+            "--warehouse-option", action="append", default=[], type=_option, metavar="KEY=VALUE", help="option of the connector; repeatable"
+        )
         stage.add_argument("--deduplicate-events", action="store_true")
 
     landing = commands.add_parser("land")
@@ -94,6 +104,7 @@ def main(argv: list[str] | None = None) -> None:
             seeds=args.seeds_dir,
             use_warehouse=args.use_warehouse,
             warehouse_format=args.warehouse_format,
+            warehouse_options=dict(args.warehouse_option),
             deduplicate_events=args.deduplicate_events,
         )
         stages = STAGES if args.command == "run" else (args.command,)

@@ -20,6 +20,7 @@ from yardline.functions import (
 from yardline.names import DOMAIN, Names
 from yardline.operators.events import CORRUPT, parse_lines
 from yardline.session import materialise
+from yardline.sources import arrow_export
 from yardline.sources.lake import child_names
 from yardline.tables import INGESTION_DATE, TableSpec
 
@@ -51,12 +52,16 @@ def read_warehouse(
 ) -> DataFrame:
     """One batch source from a warehouse: a catalog table, or any connector by format.
 
-    The connector is given the table as option ``table`` and reads on executors.
+    The connector is given the table as option ``table`` and reads on executors. The export source
+    is told the declared columns, so that it reads no other.
     """
     if fmt is None:
         table = spark.read.table(spec.warehouse_table)
     else:
         reader = spark.read.format(fmt).option("table", spec.warehouse_table)
+        if fmt == arrow_export.NAME:
+            arrow_export.register(spark)
+            reader = reader.schema(spec.schema)
         table = reader.options(**(options or {})).load()
     return table.select(*[f.name for f in spec.fields])
 
