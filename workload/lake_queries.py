@@ -9,7 +9,7 @@ import dataclasses
 import uuid
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from workload import tables as t
@@ -22,7 +22,8 @@ from yardline.operators.integrate import enrich, finish, grain_sums
 from yardline.operators.microdata import weighted_microdata
 from yardline.operators.checks import check_all
 from yardline.operators.events import valid_events
-from yardline.plans import catalog
+from yardline.plans import catalog, source_prep
+from yardline.plans.metrics import StreamMetrics
 from yardline.plans.pipeline import (
     QUARANTINE,
     Run,
@@ -31,10 +32,11 @@ from yardline.plans.pipeline import (
     with_ingestion_metadata,
 )
 from yardline.plans.suite import QualityGateError, gate, silver_suite
-from yardline.session import scratch_dir
+from yardline.session import materialise, scratch_dir
 from yardline.sources import arrow_export, readers
 from yardline.sources.lake import (
     Lake,
+    write_changed,
     write_csv,
     write_json_lines,
     write_parquet,
@@ -228,6 +230,66 @@ def group_sheet_csv(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("is_national", F.col(E.group_code) == "BR")
 
 
+@query(sql(WIDE_SQL, "years"))
+def titled_sheet_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The sheet as several files, each with a title and a blank line above its header."""
+    path = scratch_dir(spark, "titled-sheet")
+    sheet = wide_sheet(spark, folder).drop(E.entity)
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in sheet.columns]
+    rows = sheet.select(
+        F.pmod(F.hash("CO_MUNICIPIO"), F.lit(3)).alias("file"), F.lit(3).alias("line"), F.concat_ws(",", *cells).alias("value")
+    )
+    tops = ["Targets, published", "", ",".join(sheet.columns)]
+    above = spark.createDataFrame([(f, k, text) for f in range(3) for k, text in enumerate(tops)], "file int, line int, value string")
+    whole = above.unionByName(rows).repartition(3, "file").sortWithinPartitions("file", "line")
+    whole.drop("line").write.partitionBy("file").text(path)
+    return reshape.wide_to_long(readers.read_entity_sheet(spark, path, E), E.entity, E)
+
+
+@query(
+    sql(
+        """select case when group_code = 'BR' then 'national' else 'state' end as side, year as ano, group_code as sigla_uf,
+                  cast(target as double) as meta_indicador
+           from (select group_code, year, 30.25 + group_id % 5 + year - 1995 as target from groups, years
+                 union all select 'BR', year, 40.25 + year - 1995 from years)""",
+        "groups",
+        "years",
+    )
+)
+def national_and_state_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Two versions of the state sheet reconciled once, then divided; the newer one is rounded, so the older is taken."""
+    sheets = {}
+    groups = t.groups(spark, folder)
+    for version, part in ((2023, 0.25), (2025, 0.0)):
+        sheets[version] = scratch_dir(spark, f"group-sheet-{version}")
+        states = groups.select(
+            F.col(E.group_label).alias("NOME_UF"),
+            F.col(E.group_code).alias("SIGLA_UF"),
+            (30 + F.col(E.group) % 5 + part).alias("base"),
+        )
+        total = groups.agg(F.lit("Brasil").alias("NOME_UF"), F.lit("").alias("SIGLA_UF"), (F.count(F.lit(1)) * 0 + 40 + part).alias("base"))
+        yearly = [(F.col("base") + (y - t.FIRST_YEAR)).cast("string").alias(f"META_FINAL_{y}") for y in YEARS]
+        states.unionByName(total).select("NOME_UF", "SIGLA_UF", *yearly).write.option("header", True).csv(sheets[version])
+    sides = source_prep.split_national(source_prep.group_targets(spark, sheets))
+    named = [rows.withColumn("side", F.lit(side)) for side, rows in zip(("national", "state"), sides, strict=True)]
+    return named[0].unionByName(named[1])
+
+
+@query(sql("select entity_id, row_number() over (order by group_id, entity_id desc) - 1 as place from entities", "entities"))
+def export_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every row in a sorted CSV export: rows of earlier files, then those before it in its own."""
+    path = scratch_dir(spark, "ordered")
+    rows = t.entities(spark, folder).withColumn("back", -F.col(E.entity))
+    write_csv(rows, path, [E.entity, E.group], [E.group, "back"])
+    lines = spark.read.schema(f"{E.entity} bigint, {E.group} int").option("header", True).csv(path)
+    file, block = F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    read = materialise(lines.select(E.entity, file, block, F.monotonically_increasing_id().alias("n")), "ordered-lines")
+    parts = read.groupBy("file", "block").agg(F.min("n").alias("first"), F.count(F.lit(1)).alias("rows"))
+    earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select("file", "block", "first", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+    return read.join(before, ["file", "block"]).select(E.entity, (F.col("before") + F.col("n") - F.col("first")).alias("place"))
+
+
 @query(
     f"""select year, entity_id, segment, n as assessed,
                cast(round_even(n * w_flag / nullif(w, 0), 0) as bigint) as reached,
@@ -267,9 +329,10 @@ def microdata_csv(spark: SparkSession, folder: str) -> DataFrame:
 # --- streams --------------------------------------------------------------------------
 
 
-def _line_files(spark: SparkSession, folder: str) -> str:
+def _line_files(spark: SparkSession, folder: str, parts: int | None = None) -> str:
     path = scratch_dir(spark, "lines")
-    t.event_lines(spark, folder).write.text(path)
+    lines = t.event_lines(spark, folder)
+    (lines.repartition(parts, "value") if parts else lines).write.text(path)
     return path
 
 
@@ -296,6 +359,79 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return kept.agg(F.count(F.lit(1)).alias("lines"), F.max(F.length("value")).alias("longest"))
 
 
+@query(
+    """select case when event_type = 'view' then 'apart' else 'landed' end as side, count(*) as lines,
+              cast(count(*) as bigint) as distinct_lines
+       from events group by 1"""
+)
+def stream_land_apart(spark: SparkSession, folder: str) -> DataFrame:
+    """Events landed and malformed lines set apart by one stream; its last micro-batch is then written again."""
+    root = scratch_dir(spark, "apart")
+    lines = ev.read_lines(spark, _line_files(spark, folder, parts=6), max_files=3)
+    paths = {"landed": f"{root}/landed", "apart": f"{root}/apart"}
+    query = ev.land_apart(lines, *paths.values(), f"{root}/checkpoint", "2026-01-05", E, ev.ALL_AVAILABLE)
+    query.awaitTermination()
+    found = None
+    for side, path in paths.items():
+        last = spark.read.text(path)
+        repeated = materialise(last.filter(F.col("batch_id") == spark.read.text(path).agg(F.max("batch_id")).scalar()), "repeated")
+        ev.write_batch(repeated, path)
+        counted = spark.read.text(path).agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("value").alias("distinct_lines"))
+        counted = counted.withColumn("side", F.lit(side))
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
+@query(
+    """select 'InputRows' as metric, cast(count(*) as double) as value from events
+       union all select 'event_invariant.rows', count(*) from events where event_type <> 'view'
+       union all select 'event_invariant.reached_above_assessed', 0
+       union all select 'StageSuccess', 1"""
+)
+def stream_run_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """What a stream of running sums reported, read back from the run metrics."""
+    root = scratch_dir(spark, "stream-metrics")
+    lines = ev.read_lines(spark, _line_files(spark, folder), max_files=3)
+    measures = ev.measurements(valid_events(lines, E), E)
+    with StreamMetrics(spark, f"{root}/run_metrics", "totals"):
+        totals.keep_totals(measures, f"{root}/totals", f"{root}/checkpoint", E, ev.ALL_AVAILABLE).awaitTermination()
+    saved = spark.read.parquet(f"{root}/run_metrics").filter("stage = 'totals'")
+    told = saved.filter(F.col("metric").isin("InputRows", "StageSuccess") | F.col("metric").startswith("event_invariant"))
+    return told.groupBy("metric").agg(F.sum("value").alias("value"))
+
+
+@query(
+    sql(
+        """select g.year, g.entity_id, group_code, g.segment, g.assessed, g.reached, g.mean_score, g.indicator_pct
+           from alone g left join dimension d on g.entity_id = d.entity_id""",
+        "batch",
+        "dimension",
+        alone="""select year, entity_id, segment, cast(sum(assessed) as bigint) as assessed,
+                        cast(sum(reached) as bigint) as reached,
+                        round(sum(mean_score * assessed) / nullif(sum(assessed), 0), 1) as mean_score,
+                        round(100::double * cast(sum(reached) as bigint) / nullif(cast(sum(assessed) as bigint), 0), 1)
+                          as indicator_pct
+                 from batch where year is not null and entity_id is not null and segment is not null group by 1, 2, 3""",
+    )
+)
+def stream_of_blank_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream whose lines are all blank lands nothing and adds nothing to the batch."""
+    root = scratch_dir(spark, "blank")
+    t.load(spark, folder, "events").select(F.lit("  ").alias("value")).write.text(f"{root}/lines")
+    lines = ev.read_lines(spark, f"{root}/lines")
+    ev.land(lines, f"{root}/landed", f"{root}/mark", "2026-01-05", ev.ALL_AVAILABLE).awaitTermination()
+    landed = ev.read_lines(spark, f"{root}/lines")
+    measures = ev.measurements(valid_events(landed, E), E)
+    totals.keep_totals(measures, f"{root}/totals", f"{root}/totals-mark", E, ev.ALL_AVAILABLE).awaitTermination()
+    streamed = totals.read_totals(spark, f"{root}/totals", E)
+    events = readers.read_event_lines(spark, f"{root}/landed", names=E)
+    both = streamed.unionByName(grain_sums(typed(events.drop(readers.CORRUPT), measure_spec(E)), E))
+    sums = totals.add_stream(grain_sums(t.batch(spark, folder), E), both, E)
+    return enrich(finish(sums, E), t.dimension(spark, folder), E).select(
+        E.year, E.entity, E.group_code, E.segment, E.assessed, E.reached, E.score, E.pct
+    )
+
+
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     reader = spark.readStream.schema(t.SCHEMAS["events"])
     return reader.parquet(f"{folder.rstrip('/')}/events.parquet*")
@@ -359,7 +495,9 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 _RUNS: dict[tuple[str, str], Run] = {}
 
 
-def _prepared(spark: SparkSession, folder: str, root: str, date: str, **changed: DataFrame) -> Run:
+def _prepared(
+    spark: SparkSession, folder: str, root: str, date: str, lines: DataFrame | None = None, **changed: DataFrame
+) -> Run:
     """A run over sources exported from the tables, of which some may be changed."""
     seeds, lake = f"{root}/seeds-{date}", Lake(f"{root}/lake")
     renamed = dict(zip(dataclasses.astuple(E), dataclasses.astuple(DOMAIN), strict=True))
@@ -379,7 +517,7 @@ def _prepared(spark: SparkSession, folder: str, root: str, date: str, **changed:
         rows = rows.withColumnsRenamed(renamed)
         exports.append(partial(write_csv, rows, f"{seeds}/{name}.csv", rows.columns))
     events = lake.path("bronze", EVENT_TABLE)
-    lines = t.event_lines(spark, folder, DOMAIN)
+    lines = t.event_lines(spark, folder, DOMAIN) if lines is None else lines
     exports.append(partial(lines.write.mode("overwrite").text, f"{events}/ingestion_date={date}"))
     run = Run(spark, lake, date, seeds)
     together(run, exports)
@@ -541,6 +679,54 @@ def backfill_run(spark: SparkSession, folder: str) -> DataFrame:
     return first.lake.read(spark, "silver", "meta_uf")
 
 
+@query(
+    _run_sql(
+        """select year as ano, entity_id as id_municipio, segment as rede, assessed as qtd_avaliados,
+                  reached as qtd_alfabetizados, mean_score as media_proficiencia, indicator_pct as indicador_pct
+           from integrated""",
+        "integrated",
+    )
+)
+def incremental_silver_run(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of three dates, a run after each: every run adds the folders that are new to the sums it finds."""
+    root = scratch_dir(spark, "incremental")
+    lake = Lake(f"{root}/lake")
+    numbered = t.event_lines(spark, folder, DOMAIN).withColumn("part", F.pmod(F.hash("value"), F.lit(3)))
+    for k, date in enumerate(("2026-01-01", "2026-01-02", "2026-01-03")):
+        run = _prepared(spark, folder, root, date, lines=numbered.filter(F.col("part") == k).select("value"))
+        run_stages(run, ["bronze", "silver"])
+    return lake.read(spark, "silver", "alunos").select(
+        "ano", "id_municipio", "rede", "qtd_avaliados", "qtd_alfabetizados", "media_proficiencia", "indicador_pct"
+    )
+
+
+@query(
+    """select cast(year(o_orderdate) as integer) as year, count(*) as n,
+              cast(sum(o_custkey + case when year(o_orderdate) = 1996 then 1 else 0 end) as bigint) as keys,
+              year(o_orderdate) not in (1996) as files_kept
+       from orders where year(o_orderdate) <> 1998 group by all"""
+)
+def changed_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """A yearly table written three times: as it is, the same in another order, then one year changed and one gone.
+
+    Tells for each year whether its first files are still there.
+    """
+    path = scratch_dir(spark, "changed-table")
+    orders = t.load(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    moved = orders.withColumn("o_custkey", F.col("o_custkey") + F.when(F.col("year") == 1996, 1).otherwise(0))
+    write_changed(orders, path, "year", ["o_orderkey"])
+    first = materialise(_year_files(spark, path), "files")
+    write_changed(orders.orderBy("o_totalprice"), path, "year", ["o_orderkey"])
+    write_changed(moved.filter("year <> 1998"), path, "year", ["o_orderkey"])
+    kept = first.join(_year_files(spark, path), ["year", "file"]).select("year").distinct()
+    sums = spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("o_custkey").alias("keys"))
+    return sums.join(kept.withColumn("files_kept", F.lit(True)), "year", "left").fillna(False, ["files_kept"])
+
+
+def _year_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).select("year", F.col("_metadata.file_name").alias("file")).distinct()
+
+
 @query(sql(EVENTS_SQL, "event_rows"))
 def event_files_write(spark: SparkSession, folder: str) -> DataFrame:
     """Events appended as JSON files below their date and read back."""
@@ -551,9 +737,15 @@ def event_files_write(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    """select 'municipio.chave_unica' as rule from customer having count(*) > 0
-       union all
-       select 'alunos.alfabetizados_leq_avaliados' from lineitem having count(*) > 0"""
+    sql(
+        """select 'municipio.chave_unica' as rule
+           where exists (select entity_id from (select * from entities union all select * from entities)
+                         group by entity_id having count(*) > 1)
+           union all
+           select 'alunos.alfabetizados_leq_avaliados' where exists (select 1 from integrated where assessed + 1 > assessed)""",
+        "entities",
+        "integrated",
+    )
 )
 def failing_gate(spark: SparkSession, folder: str) -> DataFrame:
     """Names of the critical rules that stop a run whose entities repeat and whose counts are wrong."""

@@ -11,7 +11,8 @@ import argparse
 import datetime as dt
 import logging
 
-from yardline.plans.pipeline import ALL_STAGES, STAGES, Run, run_stages
+from yardline.plans.metrics import StreamMetrics
+from yardline.plans.pipeline import ALL_STAGES, QUARANTINE, STAGES, Run, run_stages
 from yardline.plans.source_prep import Inputs, prepare
 from yardline.session import build_session
 from yardline.sources.lake import Lake
@@ -20,9 +21,10 @@ from yardline.streaming.events import (
     EVERY_TEN_SECONDS,
     decoded_lines,
     land,
+    land_apart,
     read_lines,
 )
-from yardline.tables import EVENT_LANDING
+from yardline.tables import EVENT_BATCHES, EVENT_LANDING
 
 
 def _date(text: str) -> str:
@@ -66,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
     landing.add_argument("--ingestion-date", type=_date, help="default: date of the micro-batch")
     landing.add_argument("--encoded", action="store_true", help="each line is a base64 payload")
     landing.add_argument("--max-files", type=int, help="files per micro-batch")
+    landing.add_argument("--apart", action="store_true", help="set malformed lines apart in the same step")
     landing.add_argument("--once", action="store_true", help="land what is there and stop")
 
     prep = commands.add_parser("prepare")
@@ -85,14 +88,17 @@ def main(argv: list[str] | None = None) -> None:
         lines = read_lines(spark, args.events, args.max_files)
         if args.encoded:
             lines = decoded_lines(lines, "value")
-        lake = Lake(args.root)
-        land(
-            lines,
-            lake.path("bronze", EVENT_LANDING),
-            f"{args.root.rstrip('/')}/checkpoints/{EVENT_LANDING}",
-            args.ingestion_date,
-            ALL_AVAILABLE if args.once else EVERY_TEN_SECONDS,
-        ).awaitTermination()
+        lake, root = Lake(args.root), args.root.rstrip("/")
+        trigger = ALL_AVAILABLE if args.once else EVERY_TEN_SECONDS
+        with StreamMetrics(spark, f"{root}/run_metrics", "landing"):
+            if args.apart:
+                apart = lake.path("bronze", f"{QUARANTINE}/{EVENT_BATCHES}")
+                mark = f"{root}/checkpoints/{EVENT_BATCHES}"
+                query = land_apart(lines, lake.path("bronze", EVENT_BATCHES), apart, mark, args.ingestion_date, trigger=trigger)
+            else:
+                mark = f"{root}/checkpoints/{EVENT_LANDING}"
+                query = land(lines, lake.path("bronze", EVENT_LANDING), mark, args.ingestion_date, trigger)
+            query.awaitTermination()
     elif args.command == "prepare":
         sheets = (dict(args.entity_sheet), dict(args.group_sheet), dict(args.microdata))
         prepare(spark, Inputs(args.states, args.municipalities, *sheets), args.out)

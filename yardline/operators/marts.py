@@ -101,10 +101,9 @@ def indicator(total: DataFrame, entity_targets: DataFrame, names: Names = DOMAIN
 def evolution(total: DataFrame, names: Names = DOMAIN, strict: bool = False) -> DataFrame:
     """Change against the previous available year; with ``strict`` against year - 1 only.
 
-    The label is fixed for an entity; as part of the window's key it lets a filter on it move
-    below the window, the sums and the join.
+    An entity's series goes on when its label changes.
     """
-    window = Window.partitionBy(names.entity, names.entity_label).orderBy(names.year)
+    window = Window.partitionBy(names.entity).orderBy(names.year)
     earlier = F.lag(names.pct).over(window)
     if strict:
         adjacent = F.lag(names.year).over(window) == F.col(names.year) - 1

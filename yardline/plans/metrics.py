@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,7 +11,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.listener import QueryIdleEvent, QueryProgressEvent, QueryStartedEvent, QueryTerminatedEvent
 
 SCHEMA = (
     "stage string, metric string, value double, unit string, "
@@ -63,6 +65,80 @@ def observed(df: DataFrame, name: str, **columns: Column) -> tuple[DataFrame, Ob
     return df.observe(observation, *counts), observation
 
 
+class StreamMetrics(StreamingQueryListener):
+    """Progress, observed counts, lateness and outcome of streams, appended to the run metrics.
+
+        with StreamMetrics(spark, f"{root}/run_metrics", "landing"):
+            land(...).awaitTermination()
+
+    Rows are kept for some micro-batches and written together, at the latest when a stream ends or the block is left;
+    a stream that fails is recorded as such. One listener may watch several streams of a session.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, stage: str, rows_at_once: int = 500):
+        self._spark, self._path, self._stage, self._most = spark, path, stage, rows_at_once
+        self._kept, self._lock = RunMetrics(), threading.Lock()
+
+    def __enter__(self) -> StreamMetrics:
+        self._spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        # Events of streams that have just ended are still on their way.
+        self._spark._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        self._spark.streams.removeListener(self)
+        self.save()
+
+    def save(self) -> None:
+        with self._lock:
+            rows, self._kept.rows = self._kept.rows, []
+        if rows:
+            RunMetrics(rows).save(self._spark, self._path)
+
+    def onQueryStarted(self, event: QueryStartedEvent) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event: QueryIdleEvent) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event: QueryProgressEvent) -> None:  # noqa: N802
+        told = event.progress
+        stream = {"stream": str(told.name or told.id), "batch": str(told.batchId)}
+        found = [("InputRows", told.numInputRows, "Count")]
+        found.append(("BatchDurationMilliseconds", told.durationMs.get("triggerExecution", 0), "Milliseconds"))
+        found += [
+            ("RowsDroppedByWatermark", state.numRowsDroppedByWatermark, "Count") for state in told.stateOperators
+        ]
+        found += [("StateRows", state.numRowsTotal, "Count") for state in told.stateOperators]
+        late = _lateness(dict(told.eventTime or {}))
+        if late is not None:
+            found.append(("WatermarkLagSeconds", late, "Seconds"))
+        for name, row in (told.observedMetrics or {}).items():
+            found += [(f"{name}.{key}", value, "Count") for key, value in row.asDict().items() if value is not None]
+        self._add(found, stream)
+
+    def onQueryTerminated(self, event: QueryTerminatedEvent) -> None:  # noqa: N802
+        outcome = "StageSuccess" if event.exception is None else "StageFailure"
+        self._add([(outcome, 1, "Count")], {"stream": str(event.id)})
+        self.save()
+
+    def _add(self, found: list[tuple[str, float, str]], dimensions: dict[str, str]) -> None:
+        with self._lock:
+            for metric, value, unit in found:
+                self._kept.add(self._stage, metric, value, unit, **dimensions)
+            full = len(self._kept.rows) >= self._most
+        if full:
+            self.save()
+
+
+def _lateness(times: dict[str, str]) -> float | None:
+    """Seconds between the newest event of a micro-batch and the watermark."""
+    if "max" not in times or "watermark" not in times:
+        return None
+    newest, mark = (dt.datetime.fromisoformat(times[k].replace("Z", "+00:00")) for k in ("max", "watermark"))
+    return (newest - mark).total_seconds()
+
+
 def progress_rows(query: StreamingQuery) -> list[dict]:
     """Input rows, rates and observed counts of a stream's recent micro-batches."""
     found = []

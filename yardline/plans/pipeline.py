@@ -17,15 +17,16 @@ from yardline.names import DOMAIN as N
 from yardline.operators import marts
 from yardline.operators.checks import CHECK_SCHEMA, Rule, check_all
 from yardline.operators.clean import is_rejected, newest_per_key, typed
-from yardline.operators.integrate import first_per_event, integrate
+from yardline.operators.integrate import enrich, finish, first_per_event, grain_sums
+from yardline.plans.event_sums import event_sums, has_dates, stream_folders
 from yardline.plans.metrics import RunMetrics, observed
 from yardline.plans.schemas import layer_schema, read_layer
 from yardline.plans.suite import gold_suite, outcome, raise_on_failure, silver_suite
-from yardline.sources.lake import Lake, child_names, write_parquet, write_snapshot
+from yardline.sources.lake import Lake, child_names, write_changed, write_parquet, write_snapshot
 from yardline.sources.readers import CORRUPT, read_event_lines, read_source
+from yardline.streaming.totals import add_stream
 from yardline.tables import (
     BATCH_TABLES,
-    EVENT_LANDING,
     EVENT_TABLE,
     INGESTED_AT,
     INGESTION_DATE,
@@ -132,11 +133,16 @@ def ingest(run: Run, tables: Iterable[str] | None = None) -> None:
 
 
 def _write(run: Run, layer: str, table: str, df: DataFrame, sort_by: list[str]) -> None:
-    partition = [N.year] if N.year in df.columns else []
-    order = [c for c in sort_by if c not in partition]
-    counts = Observation(f"{layer} {table}")
+    """Years that did not change keep their files; tables without years are written whole."""
     path = run.lake.path(layer, table)
-    write_parquet(df, path, partition_by=partition, sort_by=order, count_into=counts)
+    if N.year in df.columns:
+        changes = write_changed(df, path, N.year, [c for c in sort_by if c != N.year])
+        run.metrics.add(layer, "RecordsWritten", changes.rows, table=table)
+        run.metrics.add(layer, "PartitionsRewritten", len(changes.written), table=table)
+        run.metrics.add(layer, "PartitionsKept", len(changes.kept), table=table)
+        return
+    counts = Observation(f"{layer} {table}")
+    write_parquet(df, path, sort_by=sort_by, count_into=counts)
     run.metrics.add(layer, "RecordsWritten", counts.get["rows"], table=table)
 
 
@@ -173,8 +179,28 @@ def silver(run: Run) -> None:
     groups = read_layer(run.spark, run.lake, "silver", "uf")
     batch = typed(_bronze(run, spec), spec)
 
+    streamed, lines, seen = _event_part(run, spec)
+    sums = add_stream(grain_sums(batch), streamed)
+    measures = enrich(finish(sums, null_scores=run.null_scores), marts.dimension(entities, groups))
+    _write(run, "silver", "alunos", measures, [N.entity, N.segment])
+    found = seen()
+    run.metrics.add("silver", "RecordsRead", found["rows"], table=EVENT_TABLE)
+    run.metrics.add("silver", "RecordsMalformed", found["malformed"], table=EVENT_TABLE)
+    if lines is not None:
+        _quarantine_events(run, lines)
+
+
+def _event_part(run: Run, spec: TableSpec) -> tuple[DataFrame, DataFrame | None, Callable[[], dict]]:
+    """Sums of the events up to the run's date, the lines opened for them, and their counts.
+
+    Sums are carried from run to run, so only folders that are new are opened. Redelivered events
+    can only be told among all events, and undated files only be read whole.
+    """
+    if not run.deduplicate_events and has_dates(run.spark, run.lake):
+        kept = event_sums(run.spark, run.lake, run.ingestion_date)
+        return kept.sums, kept.lines, lambda: {"rows": kept.rows, "malformed": kept.malformed}
     landed = read_event_lines(
-        run.spark, run.lake.path("bronze", EVENT_TABLE), run.lake.path("bronze", EVENT_LANDING)
+        run.spark, run.lake.path("bronze", EVENT_TABLE), stream_folders(run.lake)
     )
     if INGESTION_DATE in landed.columns:  # a run for an earlier date does not know later events
         landed = landed.filter(F.col(INGESTION_DATE) <= F.lit(run.ingestion_date).cast("date"))
@@ -184,14 +210,7 @@ def silver(run: Run) -> None:
     events = lines.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     if run.deduplicate_events:
         events = first_per_event(events)
-    stream = typed(events, spec)
-    measures = integrate(
-        batch, stream, marts.dimension(entities, groups), null_scores=run.null_scores
-    )
-    _write(run, "silver", "alunos", measures, [N.entity, N.segment])
-    run.metrics.add("silver", "RecordsRead", counts.get["rows"], table=EVENT_TABLE)
-    run.metrics.add("silver", "RecordsMalformed", counts.get["malformed"], table=EVENT_TABLE)
-    _quarantine_events(run, landed)
+    return grain_sums(typed(events, spec)), landed, lambda: counts.get
 
 
 def _gate(run: Run, suite: list[tuple[str, list[Rule]]], tables: dict[str, str]) -> None:

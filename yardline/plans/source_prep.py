@@ -7,10 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yardline.names import DOMAIN as N
+from yardline.names import Names
 from yardline.operators.microdata import weighted_microdata
 from yardline.operators.reshape import reconcile, stack_versions, wide_to_long
+from yardline.session import scratch_dir
 from yardline.sources.lake import write_csv
 from yardline.sources.readers import (
     read_entity_sheet,
@@ -51,6 +54,18 @@ def group_targets(spark: SparkSession, sheets: Mapping[int, str]) -> DataFrame:
     return reconcile(stack_versions(versions), N.group_code)
 
 
+def split_national(targets: DataFrame, names: Names = N) -> tuple[DataFrame, DataFrame]:
+    """The national trajectory, and those of the states.
+
+    Both are read from one written table, divided by side, so that whatever made ``targets`` runs once and each side opens
+    its own folder.
+    """
+    path = scratch_dir(targets.sparkSession, "group-targets")
+    targets.withColumn("side", F.when(F.col(names.group_code) == NATIONAL, "national").otherwise("state")).write.partitionBy("side").parquet(path)
+    written = targets.sparkSession.read.schema(T.StructType([*targets.schema.fields, T.StructField("side", T.StringType())])).parquet(path)
+    return tuple(written.filter(F.col("side") == side).drop("side") for side in ("national", "state"))
+
+
 def prepare(spark: SparkSession, inputs: Inputs, out: str) -> None:
     """Write the six sources as CSV folders that the batch ingest reads."""
     out = out.rstrip("/")
@@ -61,10 +76,8 @@ def prepare(spark: SparkSession, inputs: Inputs, out: str) -> None:
     entity_columns = [N.entity, N.entity_label, N.group_code, N.group]
     write_csv(municipalities, f"{out}/municipio.csv", entity_columns, [N.entity])
 
-    targets = group_targets(spark, inputs.group_sheets)
-    national = targets.filter(F.col(N.group_code) == NATIONAL)
+    national, by_group = split_national(group_targets(spark, inputs.group_sheets))
     write_csv(national, f"{out}/meta_brasil.csv", [N.year, N.target], [N.year])
-    by_group = targets.filter(F.col(N.group_code) != NATIONAL)
     write_csv(
         by_group,
         f"{out}/meta_uf.csv",

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import re
+from collections.abc import Collection, Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,13 @@ from yardline.functions import (
 )
 from yardline.names import DOMAIN, Names
 from yardline.operators.events import CORRUPT, parse_lines
-from yardline.session import materialise
 from yardline.sources import arrow_export
+from yardline.sources.heads import find_heads, first_lines, plain_cells, quoted_cells
 from yardline.sources.lake import child_names
 from yardline.tables import INGESTION_DATE, TableSpec
 
+#: A URI's scheme may be followed by one slash or several.
+_SLASHES = ":/+"
 _DATED = f"{INGESTION_DATE}="
 
 
@@ -80,23 +83,38 @@ def read_source(
 
 
 def read_event_lines(
-    spark: SparkSession, path: str, landed: str | None = None, names: Names = DOMAIN
+    spark: SparkSession,
+    path: str,
+    landed: str | Collection[str] | None = None,
+    names: Names = DOMAIN,
+    dates: Collection[str] | None = None,
 ) -> DataFrame:
     """Events of all dates, fields as text, unparsable lines in ``_corrupt_record``.
 
     Every file below ``path`` counts, whoever wrote it and whatever its name. A landing stream
     has a folder of its own, ``landed``, in which its log decides: leftovers of a failed
     attempt are not in it. A missing folder is an empty stream; any other failure is raised.
+    There may be several such folders. With ``dates`` only folders of these dates are opened.
     """
     parts = []
     children = child_names(spark, path) or []
-    if any(c.startswith(_DATED) for c in children):
+    dated = [c for c in children if c.startswith(_DATED)]
+    wanted = dated if dates is None else [c for c in dated if c[len(_DATED) :] in dates]
+    if wanted:
         # By date folders, since a log that a stream has left in ``path`` would hide other files.
-        parts.append(spark.read.option("basePath", path).text(f"{path}/{_DATED}*"))
-    elif children:
+        folders = [f"{path}/{_DATED}*"] if dates is None else [f"{path}/{c}" for c in wanted]
+        parts.append(spark.read.option("basePath", path).text(folders).select("value", INGESTION_DATE))
+    elif children and not dated and dates is None:
         parts.append(spark.read.text(path))
-    if landed is not None and child_names(spark, landed) is not None:
-        parts.append(spark.read.text(landed))
+    for folder in [landed] if isinstance(landed, str) else landed or []:
+        if child_names(spark, folder) is None:
+            continue
+        stream = spark.read.text(folder)
+        stream = stream.select("value", *[c for c in stream.columns if c == INGESTION_DATE])
+        if dates is None:
+            parts.append(stream)
+        elif INGESTION_DATE in stream.columns:
+            parts.append(stream.filter(F.col(INGESTION_DATE).cast("string").isin(list(dates))))
     if not parts:
         return parse_lines(spark.createDataFrame([], "value string"), names)
     lines = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -193,21 +211,23 @@ def read_text_table(
 def read_by_header(lines: DataFrame, columns: Iterable[str], sep: str) -> DataFrame:
     """Named columns, as text, of delimited lines (``value``) whose files differ in column order.
 
-    A file's header is its line that holds all the names. Headers are a row per file, written
-    first so that their size decides how they are joined; a line of a file without one is an error.
+    A file's header is the first line of its head that holds all the names; what stands above it is no data.
+    Headers are a row per file, whose size decides how they are joined; a line of a file without one is an error.
     Other columns of ``lines`` stay. For plain fields: a quoted field must not hold ``sep``.
     """
     columns = list(columns)
+    spark = lines.sparkSession
+    heads = find_heads(spark, lines.inputFiles(), columns, plain_cells(sep))
+    headers = spark.createDataFrame(
+        [(re.sub(_SLASHES, ":/", uri), list(h.cells), list(h.lines)) for uri, h in heads.items()], "_file string, _header array<string>, _lines array<string>"
+    )
     fields = F.transform(F.split("value", f"\\Q{sep}\\E"), lambda x: F.trim(x, F.lit(' "\r\ufeff')))
     other = [c for c in lines.columns if c != "value"]
-    split = lines.select(*other, F.col("_metadata.file_path").alias("_file"), fields.alias("_fields"))
-    is_header = reduce(lambda a, b: a & b, [F.array_contains("_fields", c) for c in columns])
-    headers = materialise(
-        split.filter(is_header).groupBy("_file").agg(F.min("_fields").alias("_header")), "headers"
-    )
-    rows = split.filter(~is_header).join(headers, "_file", "left")
+    place = F.regexp_replace("_metadata.file_path", _SLASHES, ":/").alias("_file")
+    named = lines.select(*other, place, "value").join(headers, "_file", "left")
+    rows = named.filter(F.coalesce(~F.array_contains("_lines", F.rtrim("value", F.lit("\r"))), F.lit(True)))
     missing = F.raise_error(F.concat(F.lit("no header in "), F.col("_file"))).cast("string")
-    return rows.select(
+    return rows.withColumn("_fields", fields).select(
         *other,
         *[
             F.when(F.col("_header").isNull(), missing)
@@ -218,16 +238,45 @@ def read_by_header(lines: DataFrame, columns: Iterable[str], sep: str) -> DataFr
     )
 
 
+def read_sheet(spark: SparkSession, path: str, columns: Collection[str], sep: str = ",") -> DataFrame:
+    """A sheet exported as delimited text, every column as text.
+
+    The header is the first line that names the given columns, within the head of each file; titles may
+    stand above it. All files of a folder must have the first one's header.
+    """
+    lines = spark.read.text(path)
+    files = sorted(lines.inputFiles())
+    heads = find_heads(spark, files, columns, quoted_cells(sep))
+    found = [heads[uri] for uri in files if uri in heads]
+    if not found:
+        raise ValueError(f"no header with {sorted(columns)} in {path}")
+    for uri in files:
+        if uri in heads and heads[uri].cells != found[0].cells:
+            raise ValueError(f"CSV header does not conform to that of the first file: {uri}")
+        if uri not in heads and any(line.strip() for line in first_lines(spark, uri)):
+            raise ValueError(f"CSV header does not conform to that of the first file, none is found: {uri}")
+    if not any(head.above for head in found):
+        return read_text_table(spark, path, sep)
+    names = [cell or f"_c{k}" for k, cell in enumerate(found[0].cells)]
+    names = [name if names.count(name) == 1 else f"{name}{k}" for k, name in enumerate(names)]
+    # A few lines per file: titles and header, wherever their file's splits begin.
+    titles = sorted({line for head in found for line in head.lines})
+    told = F.rtrim(F.col("value"), F.lit("\r"))
+    rows = lines.filter((F.length(F.trim("value")) > 0) & ~told.isin(titles))
+    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
+    return rows.select(F.from_csv("value", schema, {"sep": sep}).alias("row")).select("row.*")
+
+
 def read_entity_sheet(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
     """Wide target sheet by municipality, exported as CSV."""
-    sheet = read_text_table(spark, path)
+    sheet = read_sheet(spark, path, ["CO_MUNICIPIO"])
     key = whole_number(F.col("CO_MUNICIPIO"))
     return sheet.withColumn(names.entity, key).filter(all_present([names.entity]))
 
 
 def read_group_sheet(spark: SparkSession, path: str, names: Names = DOMAIN) -> DataFrame:
     """Wide target sheet by state; the national row has no state code and becomes ``BR``."""
-    sheet = read_text_table(spark, path)
+    sheet = read_sheet(spark, path, ["NOME_UF", "SIGLA_UF"])
     code = strip_marker(blank_to_null(F.col("SIGLA_UF")), "*", default="BR")
     named = sheet.filter(blank_to_null(F.col("NOME_UF")).isNotNull())
     return named.withColumn(names.group_code, code)

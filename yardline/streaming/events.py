@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from yardline.functions import decode_payload
 from yardline.names import DOMAIN, Names
 from yardline.operators.clean import typed
-from yardline.operators.events import filled_lines, malformed_lines
+from yardline.operators.events import CORRUPT, filled_lines, malformed_lines, parsed
 from yardline.tables import INGESTION_DATE, measure_spec
 
 # A micro-batch every ten seconds.
@@ -92,6 +92,43 @@ def quarantine(
     )
 
 
+def land_apart(
+    lines: DataFrame,
+    landed: str,
+    apart: str,
+    checkpoint: str,
+    ingestion_date: str | None = None,
+    names: Names = DOMAIN,
+    trigger: Mapping = EVERY_TEN_SECONDS,
+) -> StreamingQuery:
+    """Append events below ``landed`` and lines that are none below ``apart``, in one step.
+
+    A line is read and parsed once, and lands in exactly one of the two. Each micro-batch replaces the
+    folders of its own number in both, so one that is repeated after a failure between the two
+    writes changes nothing that is there already. Dates are as with ``land``.
+    """
+    date = F.current_date() if ingestion_date is None else F.lit(ingestion_date).cast("date")
+    judged = filled_lines(lines).select(
+        "value", date.alias(INGESTION_DATE), parsed(F.col("value"), names)[CORRUPT].isNotNull().alias("malformed")
+    )
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.withColumn("batch_id", F.lit(batch_id)).persist()
+        try:
+            for path, wanted in ((landed, ~F.col("malformed")), (apart, F.col("malformed"))):
+                write_batch(batch.filter(wanted).drop("malformed"), path)
+        finally:
+            batch.unpersist()
+
+    return judged.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def write_batch(rows: DataFrame, path: str) -> None:
+    """Replace a micro-batch's own folders, one below each date."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(INGESTION_DATE, "batch_id").text(path)
+
+
 def drop_redelivered(
     events: DataFrame,
     delay: str,

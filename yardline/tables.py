@@ -123,6 +123,8 @@ BATCH_TABLES: dict[str, TableSpec] = {
 EVENT_TABLE = "alunos_streaming"
 #: Folder that only the landing stream writes; its log tells which of its files count.
 EVENT_LANDING = "alunos_streaming_landed"
+#: Folder of the stream that lands and sets apart in one step: each micro-batch replaces its own part.
+EVENT_BATCHES = "alunos_streaming_batches"
 EVENT_ENVELOPE = ("event_id", "event_time", "event_type")
 
 
