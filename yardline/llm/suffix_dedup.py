@@ -36,8 +36,9 @@ from yardline.llm.text import map_batches, materialise
 
 LENGTH = 100
 GRAM = 24
-#: Windows handled at once.
-PIECE = 1 << 20
+#: Bytes cut into segments at once, and bytes of groups whose suffixes are ordered at once, but for the last group's.
+PIECE = 1 << 19
+SORTED = 1 << 18
 #: Segments of a group beyond which it is split; each further hash splits a group by half or more.
 GROUP = 1000
 #: Low bits that hold a k-gram's place among those handled at once (fewer than 2 * PIECE + LENGTH).
@@ -142,27 +143,72 @@ def smaller_neighbours(position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return before(position), np.where(after < 0, -1, len(position) - 1 - after)
 
 
-def previous_factors(windows: np.ndarray, position: np.ndarray) -> np.ndarray:
-    """Whether the longest previous factor of each window fills it.
+def first_words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number that orders like them, zeros after the last."""
+    words = np.zeros(len(data), np.uint64)
+    long = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    for k in range(8):
+        words |= long[k : k + len(data)] << np.uint64(56 - 8 * k)
+    return words
 
-    ``windows``: one row of bytes for each; ``position``: their order in the corpus.
+
+def prefix_ranks(words: np.ndarray, left: np.ndarray) -> list[np.ndarray]:
+    """For 8, 16, 32, ... bytes: the rank of the string at each place, by doubling, until strings end.
+
+    ``left``: bytes of the string from each place on; a shorter string comes before its continuations.
+    """
+    n, place = len(words), np.arange(len(words))
+    short = np.minimum(left, 8)
+    cut = words >> ((8 - short) * 8).astype(np.uint64) << ((8 - short) * 8).astype(np.uint64)
+    levels, span = [np.unique(cut, return_inverse=True)[1] * 9 + short], 8
+    while span < int(left.max(initial=0)):
+        second = np.where(span < left, levels[-1][np.minimum(place + span, n - 1)] + 1, 0)
+        levels.append(np.unique(levels[-1] * (9 * n + 18) + second, return_inverse=True)[1])
+        span *= 2
+    return levels
+
+
+def common_lengths(words: np.ndarray, levels: list[np.ndarray], left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bytes that the strings at places a and b have in common at their start."""
+    left_a, left_b, last = left[a], left[b], len(left) - 1
+    found = np.zeros(len(a), np.int64)
+    for k in range(len(levels) - 1, -1, -1):
+        inside = (found < left_a) & (found < left_b)
+        same = inside & (levels[k][np.minimum(a + found, last)] == levels[k][np.minimum(b + found, last)])
+        # Equal ranks of strings shorter than the span mean that they end together.
+        found += np.where(same, np.minimum(8 << k, left_a - found), 0)
+    rest = np.minimum(left_a, left_b) - found
+    differ = words[np.minimum(a + found, last)] ^ words[np.minimum(b + found, last)]
+    more, open_ = np.zeros(len(a), np.int64), np.ones(len(a), bool)
+    for k in range(8):
+        open_ &= (differ >> np.uint64(56 - 8 * k)) & np.uint64(255) == 0
+        more += open_
+    return found + np.minimum(more, rest)
+
+
+def previous_factors(data: np.ndarray, ends: np.ndarray, place: np.ndarray, position: np.ndarray) -> np.ndarray:
+    """Length of the longest previous factor at each ``place`` of ``data``: the longest start of its string
+    that also stands at a place of smaller ``position`` (the order in the corpus).
+
+    Of all earlier places the one before and the one after in suffix order share most: the nearest
+    of smaller position on either side.
     """
-    width = windows.shape[1]
-    strings = np.ascontiguousarray(windows).view(f"S{width}").ravel()
-    order = np.argsort(strings, kind="stable")
-    ranked = strings[order]
-    group = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-    back, ahead = smaller_neighbours(position[order])
-    own = np.zeros(len(order), bool)
-    for to in (back, ahead):
-        own |= (to >= 0) & (group[to] == group)
-    found = np.zeros(len(order), bool)
-    found[order] = own
-    return found
+    words, left = first_words(data), ends - np.arange(len(data))
+    levels = prefix_ranks(words, left)
+    order = np.argsort(levels[-1][place], kind="stable")
+    lengths = np.zeros(len(place), np.int64)
+    for to in smaller_neighbours(position[order]):
+        has = to >= 0
+        shared = common_lengths(words, levels, left, place[order[has]], place[order[to[has]]])
+        lengths[order[has]] = np.maximum(lengths[order[has]], shared)
+    return lengths
 
 
 def _spans(rows: list[tuple], length: int) -> Iterator[tuple]:
     """(d, t, start, end) that have earlier copies among the segments (d, t, s, bytes)."""
+    rows = _with_repeats(rows, length)
+    if not rows:
+        return
     keys = {k: i for i, k in enumerate(sorted({(x[0], x[1]) for x in rows}, key=lambda k: (k[0] is not None, k)))}
     size = np.array([len(x[3]) for x in rows])
     joined = np.frombuffer(b"".join([x[3] for x in rows]), np.uint8)
@@ -170,21 +216,12 @@ def _spans(rows: list[tuple], length: int) -> Iterator[tuple]:
     count = size - length + 1
     owner = np.repeat(np.arange(len(rows)), count)
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    at = offset[owner] + inner
-    with np.errstate(over="ignore"):
-        same = Slices(joined)(at, at + length)
-    _, back, times = np.unique(same, return_inverse=True, return_counts=True)
-    twice = np.flatnonzero(times[back] > 1)
-    if not len(twice):
-        return
-    rank = np.array([keys[x[0], x[1]] for x in rows])[owner[twice]]
-    start = np.array([x[2] for x in rows])[owner[twice]] + inner[twice]
-    place = np.empty(len(twice), np.int64)
-    place[np.lexsort((start, rank))] = np.arange(len(twice))
-    views = np.lib.stride_tricks.sliding_window_view(joined, length)
-    hit = np.zeros(len(owner), bool)
-    hit[twice] = previous_factors(views[at[twice]], place)
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
+    rank = np.array([keys[x[0], x[1]] for x in rows])[owner]
+    start = np.array([x[2] for x in rows])[owner] + inner
+    position = np.empty(len(owner), np.int64)
+    position[np.lexsort((start, rank))] = np.arange(len(owner))
+    factors = previous_factors(joined, np.repeat(offset + size, size), offset[owner] + inner, position)
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], (factors >= length).astype(np.int8), [0]])))
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
         while a < b:  # a run of windows may go on in the next segment of the list
             row = rows[owner[a]]
@@ -193,6 +230,23 @@ def _spans(rows: list[tuple], length: int) -> Iterator[tuple]:
             a = stop
 
 
+def _with_repeats(rows: list[tuple], length: int) -> list[tuple]:
+    """Without segments none of whose windows can recur: each of their hashes is there once."""
+    size = np.array([len(x[3]) for x in rows])
+    joined = np.frombuffer(b"".join([x[3] for x in rows]), np.uint8)
+    count = size - length + 1
+    owner = np.repeat(np.arange(len(rows)), count)
+    at = np.arange(len(owner)) + (np.cumsum(size) - size - np.cumsum(count) + count)[owner]
+    with np.errstate(over="ignore"):
+        hashes = Slices(joined)(at, at + length)
+    order = np.argsort(hashes)
+    twice = np.zeros(len(order), bool)
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    twice[order[1:]] |= equal
+    twice[order[:-1]] |= equal
+    return [rows[k] for k in np.unique(owner[twice]).tolist()]
+
+
 def suffix_spans(wanted: DataFrame, *, length: int) -> DataFrame:
     """d, t, span for segments (g, d, t, s, bytes) whose windows are compared within each g."""
     kind = wanted.schema["d"].dataType.simpleString()
@@ -214,7 +268,7 @@ def suffix_spans(wanted: DataFrame, *, length: int) -> DataFrame:
         for batch in batches:
             wanted_type = batch.schema.field(1).type
             for row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
-                if total >= PIECE and row[0] != rows[-1][0]:
+                if total >= SORTED and row[0] != rows[-1][0]:
                     yield done(rows)
                     rows, total = [], 0
                 rows.append(row)
