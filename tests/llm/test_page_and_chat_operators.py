@@ -2,6 +2,9 @@
 
 import base64
 import hashlib
+import html.parser
+import random
+import time
 import io
 import zipfile
 
@@ -53,6 +56,90 @@ def test_text_between_an_open_element_and_another_of_its_kind_stays():
     assert html_text.Page(page(body)).text(None) == "It stays here. So does this."
 
 
+LONG = "This is the article, and it says a good deal more than anything around it does. It goes on for a while."
+
+
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        (f"<div class='post-content no-sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<div id='content' class='has-sidebar'><p>{LONG}</p></div>", LONG),
+        (f"<div class='entry with-comments'><p>{LONG}</p></div>", LONG),
+        (f"<form id='aspnetForm'><div class='x'><p>{LONG}</p></div></form>", LONG),
+        (f"<div class='site header-fixed'><div class='content'><p>{LONG}</p></div></div>", LONG),
+        (f"<article><p>Be <em class='alert'>very</em> sure. {LONG}</p></article>", f"Be very sure. {LONG}"),
+        (f"<article><p>Tick <label>this box</label> first. {LONG}</p></article>", f"Tick this box first. {LONG}"),
+        (f"<article><p title='a hidden gem'>{LONG}</p></article>", LONG),
+        (f"<article><p>{LONG}</p><span class='social media'>Word</span></article>", f"{LONG} Word"),
+        (f"<article><p>{LONG}</p><p hidden>No</p><p style='display: none'>No</p><p aria-hidden=true>No</p></article>", LONG),
+        (f"<article><p>{LONG}</p></article><div class='comment-list'><p>Nice one.</p></div><div class='cookie-banner'>We use them.</div>", LONG),
+        (f"<article><p>Short.</p></article><section id='comments'><p>{LONG}</p><p>{LONG}</p></section>", "Short."),
+        (f"<article><p>{LONG} <span class='ad'>Buy it</span></p><button>Share</button></article>", LONG),
+    ],
+)
+def test_layout_classes_do_not_cost_the_article(body, text):
+    assert html_text.Page(page(body)).text(None) == text
+
+
+@pytest.mark.parametrize(
+    "piece", ["<div>", "<b>", "<p><center>", "<svg>", "</p>", "<li><b>", "<td>", "<a ", "</div><form>", "<span></p>", "<div class='c1'>x", "<select>", "<!", "<x a='"]
+)
+def test_long_broken_pages_take_time_in_proportion(piece):
+    def seconds(n):
+        start = time.process_time()
+        text = html_text.Page("<article><p>It is said.</p>" + piece * n).text(None)
+        assert text.startswith("It is said.") or piece.startswith("<div class")
+        return time.process_time() - start
+
+    assert min(seconds(20_000) for _ in range(2)) < 2.5
+
+
+class PlainReader(html.parser.HTMLParser):
+    """Text blocks of well-formed pages by the standard library's parser; noise by what the generator used."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.found, self.parts = [], [], []
+
+    def flush(self):
+        text = " ".join("".join(self.parts).split())
+        if text:
+            self.found.append(text)
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("b", "em", "a", "label"):
+            self.flush()
+        skip = tag in ("nav", "footer", "script", "style", "head", "form", "aside") or dict(attrs).get("class") in ("ad", "comments", "sidebar")
+        self.depth.append(bool(self.depth and self.depth[-1]) or skip)
+
+    def handle_endtag(self, tag):
+        if tag not in ("b", "em", "a", "label"):
+            self.flush()
+        self.depth.pop()
+
+    def handle_data(self, data):
+        if not self.depth[-1]:
+            self.parts.append(data)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_generated_pages_against_a_plain_reader(seed):
+    rnd = random.Random(seed)
+    prose = lambda k: corpus.prose(rnd.randrange(10**6), k)
+    layouts = ["<div class='{c}'>{x}</div>", "<main>{x}</main>", "<article class='{c}'>{x}</article>", "<form id='f'><div class='{c}'>{x}</div></form>",
+               "<div class='wrap no-sidebar'><section class='{c}'>{x}</section></div>"]
+    paragraphs = [f"<p>{prose(30)} <b>{prose(2)}</b> &amp; <label>{prose(3)}</label> {prose(12)}</p>" for _ in range(rnd.randrange(2, 6))]
+    paragraphs.insert(1, rnd.choice(["<div class='ad'>Buy now</div>", "<script>var p = '<p>x</p>'</script>", "<ul><li>One point.</li><li>Two points.</li></ul>"]))
+    core = rnd.choice(layouts).format(c=rnd.choice(["post", "body-text", "x9", "has-menu"]), x="".join(paragraphs))
+    after = rnd.choice(["", f"<section class='comments'><p>{prose(8)}</p></section>", f"<aside><p>{prose(6)}</p></aside>", "<div class='sidebar'><a href='/'>More</a></div>"])
+    reader = PlainReader()
+    whole = page(core + after)
+    reader.feed(whole.replace("<form id='f'>", "<div>").replace("</form>", "</div>").replace("<!DOCTYPE html>", ""))
+    reader.flush()
+    assert html_text.Page(whole).text(None) == " ".join(reader.found)
+
+
 def test_host_votes_decide(spark):
     """A page on which another container is larger follows the host's path."""
     usual = [page(f"<div class='a1'><p>{corpus.prose(70 + k, 40)}</p></div><div class='b'><p>Short note here.</p></div>") for k in range(5)]

@@ -10,10 +10,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,18 +29,19 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _CLASS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(
-    r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.I
-)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 #: Elements whose content is never text.
 RAW = frozenset("script style noscript template svg math iframe object canvas audio video head select textarea".split())
 #: Elements around an article rather than in it.
-OUTSIDE = frozenset("nav header footer aside form menu dialog button label fieldset".split())
+OUTSIDE = frozenset("nav header footer aside form menu dialog button fieldset".split())
+#: Of these, those that some pages put around everything.
+WRAPPERS = frozenset(["form", "fieldset"])
 #: Those whose content is no markup: it ends with their own end tag only.
 VERBATIM = frozenset("script style textarea iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
 #: Blocks that another start of the same kind closes.
@@ -62,111 +65,155 @@ NOISE = frozenset(
     "signup share sharing social related recommended recommendations widget toolbar pagination pager search login form "
     "skip hidden tags tagcloud alert disclaimer announcement adsbygoogle taboola outbrain".split()
 )
+#: Of these, those that tell an advert even on an element within a line.
+ADVERTS = frozenset("ad ads advert adverts advertisement adsbygoogle sponsored".split())
+#: First parts of class names that say what an element has or lacks, not what it is.
+_SAYS_OF = frozenset("no not has have with without is show hide".split())
+#: Largest share of a page's prose that an element of a noise tag or class may hold and still be left out; less where the
+#: class only has the word as a part. Beyond it, the element is a wrapper around the page.
+NOISE_SHARE, PART_SHARE = 0.85, 0.5
 #: Elements that usually hold articles, with the weight of their votes.
 FAVOURED = {"article": 3.0, "main": 2.0}
 _FAVOURED_WORDS = frozenset("article content entry main post story body text".split())
+_NO_HOLDER = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote".split())
 _SPACE = re.compile(r"\s+")
 _WORDS = re.compile(r"[a-z]+")
+#: Levels from which a path is named by a digest of its levels, so that names stay short at any depth.
+_SPELLED = 40
 
 
-def _names(attributes: str) -> tuple[str, frozenset[str]]:
-    """First class without digits, and all words of class, id and role."""
-    first, words = "", []
+def _names(attributes: str) -> tuple[str, frozenset[str], int]:
+    """First class without digits, all words of class, id and role, and how surely they tell noise: 0, 1 or 2."""
+    first, words, noise = "", [], 0
     for kind, *values in _CLASS.findall(attributes):
         value = next((v for v in values if v), "").lower()
-        if kind.lower() == "class" and value.split():
-            first = re.sub(r"\d+", "", value.split()[0])
-        words += _WORDS.findall(value)
-    return first, frozenset(words)
-
-
-class _Node:
-    __slots__ = ("cut", "favour", "number", "path", "tag")
-
-    def __init__(self, tag: str, path: str, cut: bool, favour: float, number: int):
-        self.tag, self.path, self.cut, self.favour, self.number = tag, path, cut, favour, number
+        tokens = value.split()
+        if kind.lower() == "class" and tokens:
+            first = re.sub(r"\d+", "", tokens[0])
+        for token in tokens:
+            parts = _WORDS.findall(token)
+            words += parts
+            if token in NOISE:
+                noise = 2
+            elif parts and parts[0] not in _SAYS_OF and not NOISE.isdisjoint(parts):
+                noise = max(noise, 1)
+    return first, frozenset(words), noise
+
+
+def _hidden(attributes: str) -> bool:
+    """By attributes named so, not by what others say."""
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), next((v for v in values if v), "").strip().lower()
+        if name == "hidden" and value != "false" or name == "aria-hidden" and value == "true" or name == "style" and _UNSEEN.search(value):
+            return True
+    return False
 
 
 class Page:
-    """Text blocks of a page, each with the containers around it."""
+    """Text blocks of a page and the elements around them, read in one pass.
+
+    Every step takes time and memory in proportion to the source, however deep or broken it is.
+    """
 
     def __init__(self, source: str):
-        #: (text, elements around it from outside in, characters of link text)
-        self.blocks: list[tuple[str, tuple[_Node, ...], int]] = []
-        self._stack = [_Node("", "", False, 1.0, 0)]
+        #: (text, innermost element that is no inline one, characters of link text)
+        self.blocks: list[tuple[str, int, int]] = []
+        # Per element: the one around it, its tag and path, weight of its votes, how surely it is noise, whether nothing of it is text.
+        self._parent, self._tag, self._path = [-1], [""], [""]
+        self._favour, self._noise, self._cut = [1.0], [0], [False]
+        self._depth = [0]
+        #: Open elements; (element, the innermost that is no inline one).
+        self._stack = [(0, 0)]
+        #: Places in the stack of elements that others may close, and of those that end the search for them.
+        self._marks: list[int] = []
+        self._open: dict[str, int] = defaultdict(int)
         self._parts: list[str] = []
         self._linked = 0
-        self._links = 0
-        self._count = 0
         self._read(source)
+        self._leave_out()
+
+    # -- reading
 
     def _flush(self) -> None:
         if self._parts:
             text = _SPACE.sub(" ", html.unescape("".join(self._parts))).strip()
             if text:
-                around = tuple(n for n in self._stack[1:] if n.tag not in INLINE)
-                self.blocks.append((text, around, self._linked))
+                self.blocks.append((text, self._stack[-1][1], self._linked))
             self._parts, self._linked = [], 0
 
     def _pop(self, to: int) -> None:
-        for node in self._stack[to:]:
-            self._links -= node.tag == "a"
+        for node, _ in self._stack[to:]:
+            self._open[self._tag[node]] -= 1
         del self._stack[to:]
+        while self._marks and self._marks[-1] >= to:
+            self._marks.pop()
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag not in INLINE or tag == "br":
             self._flush()
-            for k in range(len(self._stack) - 1, 0, -1):
-                if tag in CLOSED_BY.get(self._stack[k].tag, ()):
+            if tag == "body" and self._open["head"]:
+                self._end("head")
+            for k in reversed(self._marks):
+                other = self._tag[self._stack[k][0]]
+                if tag in CLOSED_BY.get(other, ()):
                     self._pop(k)
                     break
-                if self._stack[k].tag in _SCOPES:
+                if other in _SCOPES:
                     break
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in ("p", "div", "a", "span"):
             return
-        first, words = _names(attributes) if "=" in attributes else ("", frozenset())
-        above = self._stack[-1]
-        around_page = tag in ("html", "body")
-        # The heading of an article is part of it, unlike the page's.
-        heads = bool(words & _FAVOURED_WORDS) or any(n.tag == "article" for n in self._stack)
-        noise = words & NOISE - {"header"} if heads else words & NOISE
-        cut = above.cut or not around_page and (
-            tag in RAW or tag in OUTSIDE and not (tag == "header" and heads)
-            or bool(noise) and not (tag in ("article", "main") or words & {"article", "main"})
-            or bool(attributes) and bool(_HIDDEN.search(attributes))
-        )
-        favour = max(FAVOURED.get(tag, 1.0), 1.5 if words & _FAVOURED_WORDS and not around_page else 1.0)
-        path = f"{above.path}/{tag}.{first}" if first else f"{above.path}/{tag}"
-        if tag in INLINE:
-            path = above.path
-        self._count += 1
-        self._stack.append(_Node(tag, path, cut, favour, self._count))
-        self._links += tag == "a"
+        first, words, noise = _names(attributes) if "=" in attributes else ("", frozenset(), 0)
+        above, holder = self._stack[-1]
+        node, inline, around = len(self._tag), tag in INLINE, tag in ("html", "body")
+        if inline:
+            noise = 2 if words & ADVERTS and noise == 2 else 0
+        elif not around:
+            # The heading of an article is part of it, unlike the page's.
+            heads = bool(words & _FAVOURED_WORDS) or self._open["article"] > 0
+            if heads and words & NOISE == {"header"}:
+                noise = 0
+            if tag in ("article", "main") or words & {"article", "main"}:
+                noise = 0
+            if tag in OUTSIDE and not (tag == "header" and heads):
+                noise = 2 if tag in WRAPPERS else 3
+        self._parent.append(above)
+        self._tag.append(tag)
+        self._cut.append(self._cut[above] or not around and (tag in RAW or bool(attributes) and _hidden(attributes)))
+        self._noise.append(0 if around else noise)
+        self._favour.append(max(FAVOURED.get(tag, 1.0), 1.5 if words & _FAVOURED_WORDS and not around else 1.0))
+        self._depth.append(self._depth[above] + (not inline))
+        if inline:
+            self._path.append(self._path[above])
+        else:
+            path = f"{self._path[above]}/{tag}.{first}" if first else f"{self._path[above]}/{tag}"
+            self._path.append(path if self._depth[node] <= _SPELLED else "#" + hashlib.md5(path.encode()).hexdigest())
+        if tag in CLOSED_BY or tag in _SCOPES:
+            self._marks.append(len(self._stack))
+        self._stack.append((node, holder if inline else node))
+        self._open[tag] += 1
 
     def _end(self, tag: str) -> None:
         if tag not in INLINE:
             self._flush()
+        if not self._open[tag]:
+            return
         for k in range(len(self._stack) - 1, 0, -1):
-            if self._stack[k].tag == tag:
+            other = self._tag[self._stack[k][0]]
+            if other == tag:
                 self._pop(k)
                 return
-            if tag in INLINE and self._stack[k].tag not in INLINE:
+            if tag in INLINE and other not in INLINE:
                 return
 
     def _text(self, data: str) -> None:
-        if data and not self._stack[-1].cut:
+        if data and not self._cut[self._stack[-1][0]] and not (self._noise[self._stack[-1][0]] and self._tag[self._stack[-1][0]] in INLINE):
             self._parts.append(data)
-            if self._links:
+            if self._open["a"]:
                 self._linked += len(data)
 
-    def _closes_around(self, inner: str) -> bool:
-        """Whether an element around the last one ends in this piece of source."""
-        ends, starts = (re.findall(rf"<{x}([a-zA-Z][^\s/>]*)", inner.lower()) for x in ("/", ""))
-        return any(ends.count(n.tag) > starts.count(n.tag) for n in self._stack[1:-1] if n.tag in ends)
-
     def _read(self, source: str) -> None:
-        at = 0
-        while found := _TOKEN.search(source, at):
+        at, last = 0, source.rfind(">")  # what has no end after it is no tag
+        while at <= last and (found := _TOKEN.search(source, at)):
             self._text(source[at : found.start()])
             at = found.end()
             tag = found[2]
@@ -179,43 +226,92 @@ class Page:
                 self._end(tag)
                 continue
             self._start(tag, found[3])
-            if tag in RAW and tag not in VOID and not found[3].rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                if tag == "head" and close is None:
-                    close = re.compile(r"(?=<body\b)", re.I).search(source, at)
-                if tag not in VERBATIM and (close is None or self._closes_around(source[at : close.start()])):
-                    continue  # an ordinary cut element, closed with its parent
+            if tag in VERBATIM and not found[3].rstrip().endswith("/"):
+                close = _closing(tag).search(source, at)
                 at = close.end() if close else len(source)
                 self._pop(len(self._stack) - 1)
         self._text(source[at:])
         self._flush()
 
+    # -- choosing
+
+    def _sums(self, values: list[float]) -> list[float]:
+        """Of each element, the values of all elements in it, itself included."""
+        total = values[:]
+        for node in range(len(total) - 1, 0, -1):
+            total[self._parent[node]] += total[node]
+        return total
+
+    def _leave_out(self) -> None:
+        """Drop blocks in elements that are noise by tag or class, but for wrappers that hold most of the page.
+
+        An element that is surely noise goes whatever it holds if the page has an article element with prose beside it.
+        """
+        count = len(self._tag)
+        prose, praised = [0.0] * count, [0.0] * count
+        for text, node, linked in self.blocks:
+            prose[node] += max(len(text) - linked, 0)
+        inside = self._sums(prose)
+        for node in range(1, count):
+            if self._favour[node] > 1 and self._noise[node] < 2 and inside[node] > 0 and self._tag[node] not in INLINE:
+                praised[node] = 1.0
+        held = self._sums(praised)
+        whole, gone = max(inside[0], 1.0), [False] * count
+        for node in range(1, count):
+            sure = self._noise[node]
+            share = inside[node] / whole
+            gone[node] = gone[self._parent[node]] or self._tag[node] not in INLINE and (
+                sure == 3 or sure == 2 and (share < NOISE_SHARE or not held[node] and held[0] > 0) or sure == 1 and share < PART_SHARE
+            )
+        self.blocks = [b for b in self.blocks if not gone[b[1]]]
+
     def scores(self) -> dict[str, float]:
         """Score of each container path: its prose weighed by nearness, favoured elements and links."""
-        total: dict[str, float] = defaultdict(float)
-        titled = {n.path for _, around, _ in self.blocks if around and around[-1].tag == "h1" for n in around}
-        for text, around, linked in self.blocks:
-            value = len(text) - 1.5 * linked
+        count = len(self._tag)
+        value, titled = [0.0] * count, set()
+        seen = [False] * count
+        for text, node, linked in self.blocks:
+            worth = len(text) - 1.5 * linked
             if len(text) < 25 and text[-1] not in ".!?…:;":
-                value *= 0.3  # headings and single words say little
-            holders = [n for n in around if n.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "blockquote")]
+                worth *= 0.3  # headings and single words say little
+            value[node] += worth
+            if self._tag[node] == "h1":
+                while node > 0 and not seen[node]:
+                    seen[node] = True
+                    titled.add(self._path[node])
+                    node = self._parent[node]
+        total: dict[str, float] = defaultdict(float)
+        held = self._sums([float(v != 0) for v in value])
+        for node in range(count - 1, 0, -1):
+            if not held[node]:
+                continue
+            tag = self._tag[node]
+            holder = tag not in INLINE and tag not in _NO_HOLDER
+            if holder:
+                total[self._path[node]] += value[node] * self._favour[node] * (1.3 if self._path[node] in titled else 1.0)
             # An inner container is better than what it lies in, as long as it holds as much.
-            weight = 1.0
-            for node in reversed(holders):
-                total[node.path] += value * weight * node.favour * (1.3 if node.path in titled else 1.0)
-                weight *= 0.9
+            value[self._parent[node]] += value[node] * (0.9 if holder else 1.0)
         return total
 
     def text(self, path: str | None) -> str:
         """Blocks inside the containers of a path, in page order; of the page's best one if it has none."""
-        if not self.blocks:
-            return ""
-        if path is None or not any(n.path == path for _, around, _ in self.blocks for n in around):
+        found = self._inside(path) if path is not None else []
+        if not found and self.blocks:
             scores = self.scores()
-            path = min(scores, key=lambda p: (-scores[p], p)) if scores else None
-        if path is None:
-            return " ".join(text for text, _, _ in self.blocks)
-        return " ".join(text for text, around, _ in self.blocks if any(n.path == path for n in around))
+            best = min(scores, key=lambda p: (-scores[p], p)) if scores else None
+            found = self.blocks if best is None else self._inside(best)
+        return " ".join(text for text, _, _ in found)
+
+    def _inside(self, path: str) -> list[tuple[str, int, int]]:
+        within = [False] * len(self._tag)
+        for node in range(1, len(within)):
+            within[node] = within[self._parent[node]] or self._path[node] == path and self._tag[node] not in INLINE
+        return [b for b in self.blocks if within[b[1]]]
+
+
+@cache
+def _closing(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\s*>", re.I)
 
 
 def votes(pages: DataFrame, *, url: str, source: str) -> DataFrame:
@@ -258,7 +354,7 @@ def winning_paths(pages: DataFrame, *, url: str = "url", source: str = "html") -
 def main_text(pages: DataFrame, *, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """Per row: key, url, text, n_chars and the host's winning path.
 
-    A null or empty page gives an empty text; pages without host form one host; null keys and repeated
+    A null or empty page gives an empty text; very long, deep and unclosed pages take time in proportion to their length; pages without host form one host; null keys and repeated
     rows stay as they are; empty tables give none; other columns are not read.
     Paths are written first, so that their size decides whether they are broadcast or shuffled.
     """
