@@ -150,7 +150,7 @@ def test_repeats_leave_other_columns(docs):
 
 def overlap(a, b, width=12, percent=80):
     m = min(width, len(b))
-    if len(b) < 8 or len(a) < m:
+    if not b or len(a) < m:
         return False
     for shift in range(-(len(b) - m), len(a) - m + 1):
         low, high = max(shift, 0), min(len(a), shift + len(b))
@@ -162,14 +162,16 @@ def overlap(a, b, width=12, percent=80):
 
 @pytest.mark.parametrize("broadcast", [0, 10**6])
 def test_benchmark_overlaps(spark, broadcast):
-    items = [corpus.prose(40, 30), corpus.prose(41, 14), "too short", None, corpus.prose(42, 9)]
+    items = [corpus.prose(40, 30), corpus.prose(41, 14), "short one", None, corpus.prose(42, 9), "Stonely", corpus.prose(43, 6), ""]
     changed = items[0].split(" ")
     changed[5], changed[17] = "swapped", "again"
     texts = [
         f"{corpus.prose(50, 40)} {items[0]} {corpus.prose(51, 20)}", f"{corpus.prose(52, 5)} {' '.join(changed)}", items[1].upper(),
         items[4], corpus.prose(53, 400), None, "", items[0][: len(items[0]) // 3], items[0],
+        f"{corpus.prose(54, 30)} a SHORT, one. {corpus.prose(55, 9)}", f"x stonely! {items[6]}", "short and one",
     ]
     table = [(k, t, *[None] * 8) for k, t in enumerate(texts)] + [(None, items[1], *[None] * 8), (8, items[0], *[None] * 8)]
+    texts = len(texts)
     bench = spark.createDataFrame([*enumerate(items), (0, items[0])], "item_id long, text string")
     docs = corpus.table(spark, table)
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, bench, max_broadcast=broadcast).collect()}
@@ -180,7 +182,7 @@ def test_benchmark_overlaps(spark, broadcast):
     assert got == {(r[0], k) for r in table for k, x in enumerate(items) if overlap(cut(r[1]), cut(x))}
     left = decontaminate.drop_contaminated(docs, bench)
     assert left.columns == docs.columns
-    assert sorted(r["doc_id"] for r in left.collect()) == [k for k in range(8) if not any(g[0] == k for g in got)]
+    assert sorted(r["doc_id"] for r in left.collect()) == [k for k in range(texts) if not any(g[0] == k for g in got)]
 
 
 @pytest.mark.parametrize("words", [8, 9, 10, 11, 12])
@@ -223,6 +225,54 @@ def test_items_of_few_words(spark, broadcast):
     assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want)
 
 
+def test_many_items_of_one_stem(spark):
+    """Items that share most of their words, and items of one common word."""
+    stem = "which of the following best describes the main idea of"
+    items = [f"{stem} passage{k} about topic{k % 7}" for k in range(300)] + ["the", "idea of"]
+    texts = [f"Before it. {items[k]} After it." for k in (3, 50, 299)] + [corpus.prose(k, 60) for k in range(300, 310)] + ["The end of an idea, of sorts"]
+    docs = corpus.table(spark, [(k, t, *[None] * 8) for k, t in enumerate(texts)])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(docs, bench).collect()}
+
+    def cut(text):
+        return re.findall(r"[^\W_]+", text.lower())
+
+    assert got == {(d, k) for d, t in enumerate(texts) for k, x in enumerate(items) if overlap(cut(t), cut(x))}
+
+
+def test_factor_lengths_against_all_earlier_places():
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(3)
+    for trial in range(200):
+        parts = [bytes(rnd.choices(b"ab" if trial % 2 else b"a\x00b", k=rnd.randrange(1, 60))) for _ in range(rnd.randrange(1, 6))]
+        data, size = np.frombuffer(b"".join(parts), np.uint8), np.array([len(x) for x in parts])
+        ends = np.repeat(np.cumsum(size), size)
+        place = np.array(sorted(rnd.sample(range(len(data)), rnd.randrange(1, len(data) + 1))))
+        position = np.array(rnd.sample(range(1000), len(place)))
+        strings = [bytes(data[p : ends[p]]) for p in place]
+
+        def shared(x, y):
+            return next((k for k, (a, b) in enumerate(zip(x, y, strict=False)) if a != b), min(len(x), len(y)))
+
+        want = [max((shared(s, o) for o, q in zip(strings, position, strict=True) if q < p), default=0) for s, p in zip(strings, position, strict=True)]
+        assert suffix_dedup.previous_factors(data, ends, place, position).tolist() == want
+
+
+def test_near_duplicates_of_repeated_and_null_keys(spark):
+    """Rows of one key are judged by their own texts; of a group one stays."""
+    base, other, third = corpus.prose(70, 120), corpus.prose(71, 100), corpus.prose(72, 90)
+    near = base.replace(base.split(" ")[40], "novelty", 1)
+    table = [(1, base), (2, near), (2, other), (2, other), (3, third), (None, third), (None, None), (None, None), (4, ""), (4, "")]
+    docs = corpus.table(spark, [(*r, *[None] * 8) for r in table])
+    left = near_dup.drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    kept = sorted((tuple(r)[:2] for r in left.collect()), key=lambda r: (r[0] or 0, r[1] or ""))
+    assert kept == [(None, None), (None, None), (None, third), (1, base), (2, other), (4, ""), (4, "")]
+
+
 def test_rows_of_one_key_are_judged_one_by_one(spark):
     leak, clean = corpus.prose(60, 30), [corpus.prose(61 + k, 40) for k in range(4)]
     table = [(None, leak), (None, clean[0]), (None, None), (1, leak), (1, clean[1]), (1, clean[1]), (2, clean[2]), (3, leak), (4, clean[3])]

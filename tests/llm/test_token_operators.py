@@ -56,6 +56,13 @@ def test_failing_proposals_are_merged():
     assert flags == [p == m for p, m in zip(proposed, merged, strict=True)] and not all(flags)
 
 
+def test_class_runs_give_the_table(monkeypatch):
+    table, runs = pretokens.character_classes().copy(), pretokens.class_runs()
+    monkeypatch.setattr(pretokens, "_classes", None)
+    pretokens.use_class_runs(runs)
+    assert (pretokens.character_classes() == table).all() and sum(r.nbytes for r in runs) < 1 << 16
+
+
 def test_word_table_starts_anew():
     calls = []
     table = pretokens.WordTable(lambda new: calls.append(len(new)) or [[len(w)] for w in new], max_words=2)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from yardline.llm.pretokens import WordTable, encode_texts
+from yardline.llm.pretokens import WordTable, class_runs, encode_texts, use_class_runs
 from yardline.llm.text import map_batches
 
 #: Rank that no merge has.
@@ -202,7 +202,10 @@ def encode(
     schema = f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_text
 
+    runs = class_runs()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_class_runs(runs)
         merges, table = worker(path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from yardline.llm.components import components
 from yardline.llm.hashing import mix, numbers, shingle_set, word_hashes
-from yardline.llm.text import map_batches, materialise, ship_package
+from yardline.llm.text import map_batches, materialise, ship_package, temp_name
 
 #: 40 bands of 5 values miss a pair of similarity 0.8 with probability (1 - 0.8^5)^40, about 1e-7.
 PERMUTATIONS = 100
@@ -326,14 +326,20 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents whose key is their component's smallest, one row of each key.
+    """The documents whose key is their component's smallest: one of each group of near duplicates.
 
-    Rows of null keys all stay.
+    Where keys repeat or are null, each such row is a document of its own, numbered in a written table: it goes only if
+    its own text is linked with one of a smaller key (null before all others), or of an equal key and a smaller number.
     """
-    found = near_duplicates(docs, key=key, text=text, **options)
-    gone = materialise(found.filter("not kept").select(F.col(f"`{key}`")).distinct(), "gone")
-    left = docs.join(gone, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = found.filter(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`")).count().filter("count > 1")
-    if repeated.isEmpty():
-        return left
-    return left.filter(F.col(f"`{key}`").isNotNull()).dropDuplicates([key]).unionByName(left.filter(F.col(f"`{key}`").isNull()))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    odd = docs.groupBy(F.col(f"`{key}`").alias("k")).count().filter("k is null or count > 1")
+    if odd.isEmpty():
+        found = near_duplicates(docs, key=key, text=text, **options)
+        gone = materialise(found.filter("not kept").select(F.col(f"`{key}`")), "gone")
+        return docs.join(gone, key, "left_anti").select(*columns)
+    node = temp_name("node")
+    numbered = docs.withColumn(node, F.struct(F.col(f"`{key}`").alias("k"), F.monotonically_increasing_id().alias("n")))
+    numbered = materialise(numbered, "numbered")
+    found = near_duplicates(numbered, key=node, text=text, **options)
+    gone = materialise(found.filter("not kept").select(node), "gone")
+    return numbered.join(gone, node, "left_anti").select(*columns)

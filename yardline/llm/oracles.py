@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from yardline.llm import quality_rules as rules
-from yardline.llm.decontaminate import MASKS, MIN_PERCENT, MIN_WORDS
+from yardline.llm.decontaminate import MIN_PERCENT, MIN_WORDS
 from yardline.llm.merkle import FAN
 
 _SEP = r"[\x20\x09-\x0D]+"
@@ -105,7 +105,7 @@ DECONTAMINATION = f"""
 with d as (select doc_id, {_TOKENS} as ws from documents),
 b as (select distinct item_id, {_TOKENS} as ws from benchmark),
 dw as (select doc_id, len(ws) as n, unnest(range(len(ws))) as i, unnest(ws) as w from d),
-iw as (select item_id, len(ws) as m, unnest(range(len(ws))) as j, unnest(ws) as w from b where len(ws) >= {len(MASKS[0])}),
+iw as (select item_id, len(ws) as m, unnest(range(len(ws))) as j, unnest(ws) as w from b),
 aligned as (
   select doc_id, item_id, i - j as shift, m, n, least(m, {MIN_WORDS}) as width, list(j) as js
   from dw join iw using (w) group by all having 100 * count(*) >= {MIN_PERCENT} * least(m, {MIN_WORDS})),

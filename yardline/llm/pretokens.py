@@ -16,7 +16,7 @@ from tokenizers import pre_tokenizers
 
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: Code points handled at once; bounds the memory of a task whatever the length of its texts.
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 19
 #: Words remembered by a worker before it starts anew.
 MAX_WORDS = 400_000
 _SHORT = 16
@@ -25,7 +25,7 @@ _classes: np.ndarray | None = None
 
 
 def character_classes() -> np.ndarray:
-    """Class of every code point (built once in each worker).
+    """Class of every code point, built once in a process; workers get it from the driver as runs.
 
     The library's own byte-level splitter tells where classes change in the row of all code
     points, so both follow one version of Unicode.
@@ -44,6 +44,21 @@ def character_classes() -> np.ndarray:
     return _classes
 
 
+def class_runs() -> tuple[np.ndarray, np.ndarray]:
+    """The table of classes as runs (first code point, class): small enough to go to workers with their code."""
+    table = character_classes()
+    first = np.flatnonzero(np.concatenate([[True], table[1:] != table[:-1]])).astype(np.int32)
+    return first, table[first]
+
+
+def use_class_runs(runs: tuple[np.ndarray, np.ndarray]) -> None:
+    """Take the table from its runs, unless this worker has it."""
+    global _classes
+    if _classes is None:
+        first, kind = runs
+        _classes = np.repeat(kind, np.diff(np.append(first, 0x110000)))
+
+
 def pieces(text: str, special: tuple[str, ...], size: int = PIECE_CHARS) -> Iterator[tuple[str, bool]]:
     """Parts of a text whose pre-tokens do not depend on each other, and whether one is special.
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from yardline.llm.bpe import byte_alphabet
-from yardline.llm.pretokens import WordTable, encode_texts
+from yardline.llm.pretokens import WordTable, class_runs, encode_texts, use_class_runs
 from yardline.llm.text import map_batches, materialise, scratch_dir
 
 END_ID = 2
@@ -73,7 +73,10 @@ def write_tokens(
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, part int, start_in_part bigint, n_tokens bigint, ids array<int>"
 
+    runs = class_runs()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_class_runs(runs)
         table, special = library_words(tokenizer)
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
