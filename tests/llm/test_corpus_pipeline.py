@@ -62,6 +62,6 @@ def test_stages(spark, folder):
 
 def test_registered():
     queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in queries) == 1
     assert queries["pipeline"] is corpus_pipeline.run and set(oracles) <= set(queries)

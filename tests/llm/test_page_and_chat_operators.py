@@ -245,6 +245,28 @@ def test_chats_do_not_depend_on_blocks(spark):
         assert {(r["conv_id"], r["n_turns"]) for r in chat_format.format_chats(log, block=block).collect()} == {(3, 11)}
 
 
+def test_a_hot_conversation_spreads_over_ranges(spark, monkeypatch):
+    """Rows of a null id with one turn number are a third of all; no range holds them, and the order is kept."""
+    whole, spread = chat_format.materialise, {}
+
+    def spied(frame, name):
+        done = whole(frame, name)
+        if name == "turn-order":
+            spread.update({r[0]: r[1] for r in done.filter("c.id is null").selectExpr("shiftright(place, 33) as r").groupBy("r").count().collect()})
+        return done
+
+    monkeypatch.setattr(chat_format, "materialise", spied)
+    hot = spark.range(3000).selectExpr("cast(null as long) as conv_id", "cast(null as long) as turn", "'user' as role", "concat(md5(cast(id as string)), repeat('x', 50)) as text")
+    rest = spark.range(6000).selectExpr("id % 500 as conv_id", "id as turn", "'user' as role", "cast(id as string) as text")
+    long = spark.range(1).selectExpr("cast(900 as long) as conv_id", "cast(0 as long) as turn", "'user' as role", "repeat('long ', 400000) as text")
+    turns = chat_format.numbered_turns(hot.union(rest).union(long))
+    places = turns.filter("c.id is null").select("position", "text").collect()
+    texts = [r["text"] for r in sorted(places, key=lambda r: r["position"])]
+    assert [r for r in sorted(r["position"] for r in places)] == list(range(1, 3001)) and texts == sorted(texts)
+    assert len(spread) > 1 and max(spread.values()) < 2800
+    assert chat_format.format_chats(long).first()["text"] == "<|im_start|>user\n" + "long " * 400000 + "<|im_end|>\n"
+
+
 def test_quality_votes(spark):
     good = [(k, corpus.prose(200 + k, 80)) for k in range(60)]
     bad = [(100 + k, " ".join(w + "###" for w in corpus.prose(300 + k, 80).split(" "))) for k in range(60)]

@@ -273,6 +273,29 @@ def test_near_duplicates_of_repeated_and_null_keys(spark):
     assert kept == [(None, None), (None, None), (None, third), (1, base), (2, other), (4, ""), (4, "")]
 
 
+def test_sketches_do_not_lose_links():
+    """Pairs of the least linked similarity lie far above the share of equal sketch bytes that is asked for."""
+    from math import comb
+
+    import numpy as np
+
+    from yardline.llm.hashing import mix, numbers
+
+    factor, shift = numbers(near_dup.PERMUTATIONS, 11) | np.uint64(1), numbers(near_dup.PERMUTATIONS, 12)
+    rnd, shares = np.random.default_rng(1), []
+    with np.errstate(over="ignore"):
+        for size in (50, 200, 900):
+            for _ in range(120):
+                every = rnd.integers(0, 1 << 63, size, dtype=np.uint64)
+                own = size // 10  # each has a tenth of the union for itself: similarity 0.8
+                sets = every[own:], every[: size - own]
+                bytes_ = [mix(near_dup.min_max(s, factor, shift)) >> np.uint64(56) for s in sets]
+                shares.append(float((bytes_[0] == bytes_[1]).mean()))
+    assert abs(np.mean(shares) - 0.8) < 0.02 and min(shares) > near_dup.SKETCH_FLOOR + 0.08
+    n, floor = 2 * near_dup.PERMUTATIONS, near_dup.SKETCH_FLOOR
+    assert sum(comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(int(floor * n))) < 1e-13
+
+
 def test_rows_of_one_key_are_judged_one_by_one(spark):
     leak, clean = corpus.prose(60, 30), [corpus.prose(61 + k, 40) for k in range(4)]
     table = [(None, leak), (None, clean[0]), (None, None), (1, leak), (1, clean[1]), (1, clean[1]), (2, clean[2]), (3, leak), (4, clean[3])]

@@ -245,7 +245,8 @@ def near_duplicates(
         signatures(docs, **options, permutations=permutations, band_rows=band_rows), "signatures"
     )
     shingled = signed.filter("node is not null and n_shingles > 0")
-    classes = shingled.groupBy("f1", "f2").agg(F.min("node").alias("rep"))
+    # Written, so that the joins read two plain inputs and Spark can split a set that very many texts share.
+    classes = materialise(shingled.groupBy("f1", "f2").agg(F.min("node").alias("rep")), "classes")
     member = materialise(
         shingled.select("node", "f1", "f2").join(classes, ["f1", "f2"]).select("node", "rep").filter("node <> rep").distinct(),
         "members",

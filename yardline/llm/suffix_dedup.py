@@ -444,7 +444,7 @@ def _aggregated(parts: DataFrame, name: str, *, length: int) -> tuple[DataFrame,
 
 def _asked(firsts: DataFrame, group: int, beyond: Callable[[Column], Column]) -> DataFrame:
     """d, t and the segments (s, w, h, depth) asked of that text: depth 1 in groups of up to ``group`` different ones."""
-    sizes = firsts.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1")
+    sizes = materialise(firsts.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1"), "group-sizes")
     depth = F.when(F.col("size") <= group, 1).otherwise(beyond(F.col("size"))).cast("int")
     return (
         firsts.join(sizes.select("h", depth.alias("depth")), "h")
