@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yardline.llm.pretokens import WordTable, class_runs, encode_texts, use_class_runs
-from yardline.llm.text import map_batches
+from yardline.llm.text import map_batches, text_slices
 
 #: Rank that no merge has.
 NEVER = 1 << 30
@@ -207,7 +207,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use_class_runs(runs)
         merges, table = worker(path)
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole, 1)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             out: dict[str, list] = {"n": [], "ids": [], "sha": [], "dec": [], "decoded": []}
             for ids in encode_texts(texts, table, merges.special):

@@ -16,9 +16,9 @@ from tokenizers import pre_tokenizers
 
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: Code points handled at once; bounds the memory of a task whatever the length of its texts.
-PIECE_CHARS = 1 << 19
+PIECE_CHARS = 1 << 18
 #: Words remembered by a worker before it starts anew.
-MAX_WORDS = 400_000
+MAX_WORDS = 120_000
 _SHORT = 16
 
 _classes: np.ndarray | None = None

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yardline.llm.hashing import Slices
-from yardline.llm.text import map_batches
+from yardline.llm.text import map_batches, text_slices
 
 # The kinds, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "crf")
@@ -499,32 +499,18 @@ def find_secrets(docs: DataFrame, model: Model | None = None, *, key: str = "doc
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in _slices(batch):
-                found = list(all_spans(model, texts))
-                offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-                flat = [s for f in found for s in f]
-                columns = [pa.array([s[k] for s in flat], span.field(k).type) for k in range(3)]
-                spans = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(columns, fields=list(span)))
-                yield pa.RecordBatch.from_arrays([part, spans], names=[key, "spans"])
+        for batch in (part for whole in batches for part in text_slices(whole, 1, PIECE)):
+            found = list(all_spans(model, [t or "" for t in batch.column(1).to_pylist()]))
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+            flat = [s for f in found for s in f]
+            columns = [pa.array([s[k] for s in flat], span.field(k).type) for k in range(3)]
+            spans = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(columns, fields=list(span)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), spans], names=[key, "spans"])
 
     chosen = docs.select(f"`{key}`", F.col(f"`{text}`").cast("string").alias("__text"))
     return map_batches(chosen, run, f"`{key}` {kind}, spans {SPANS}")
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
-    """Rows of a batch, some of bounded size at a time."""
-    texts, start, size = [], 0, 0
-    for k in range(batch.num_rows):
-        texts.append(batch.column(1)[k].as_py() or "")
-        size += len(texts[-1])
-        if size >= PIECE:
-            yield batch.column(0).slice(start, len(texts)), texts
-            texts, start, size = [], k + 1, 0
-    if texts:
-        yield batch.column(0).slice(start, len(texts)), texts
-
-
 def listed(spans: Column) -> Column:
     """Spans as kind:start:end, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -8,14 +8,16 @@ import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import yardline
 from yardline.session import materialise, scratch_dir
 
-__all__ = ["SEPARATORS", "map_batches", "materialise", "read_table", "scratch_dir", "ship_package", "temp_name", "words"]
+__all__ = ["SEPARATORS", "map_batches", "materialise", "read_table", "scratch_dir", "ship_package", "temp_name", "text_slices", "words"]
 
 #: White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = " \t\n\x0b\x0c\r"
@@ -38,6 +40,21 @@ def temp_name(stem: str) -> str:
     return f"__{stem}_{uuid.uuid4().hex[:8]}"
 
 
+#: Bytes of text that a task takes from an Arrow batch at a time.
+SLICE_BYTES = 1 << 19
+
+
+def text_slices(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose texts hold about ``size`` bytes together; a longer text is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 _shipped: set[str] = set()
 
 

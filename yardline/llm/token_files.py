@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from yardline.llm.bpe import byte_alphabet
 from yardline.llm.pretokens import WordTable, class_runs, encode_texts, use_class_runs
-from yardline.llm.text import map_batches, materialise, scratch_dir
+from yardline.llm.text import map_batches, materialise, scratch_dir, text_slices
 
 END_ID = 2
 STRIPE_BYTES = 64 << 20
@@ -79,7 +79,7 @@ def write_tokens(
         use_class_runs(runs)
         table, special = library_words(tokenizer)
         part, start = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in (some for whole in batches for some in text_slices(whole, 1)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             coded = [np.append(ids, np.int32(end_id)) for ids in encode_texts(texts, table, special)]
             size = np.fromiter(map(len, coded), np.int64, len(coded))
