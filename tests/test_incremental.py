@@ -47,6 +47,15 @@ def test_only_new_folders_are_opened(spark, tmp_path):
     assert back == first and early.opened == ["2026-01-01"]
 
 
+def test_folders_of_malformed_lines_only_are_counted(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    event_file(lake, "2026-01-01", [EVENT])
+    _, first = summed(spark, lake, "2026-01-01")
+    event_file(lake, "2026-01-02", ["{second", "{third"])
+    found, second = summed(spark, lake, "2026-01-02")
+    assert (found.rows, found.malformed) == (2, 2) and second == first
+
+
 def test_late_files_are_never_missed(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     event_file(lake, "2026-01-01", [EVENT])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from yardline.names import DOMAIN, Names
 from yardline.operators.clean import typed
 from yardline.operators.integrate import SCORE_SUM, SCORE_WEIGHT, add_sums, grain_sums
-from yardline.plans.metrics import observed
+from yardline.plans.metrics import observed, observed_or_counted
 from yardline.sources.lake import Lake, child_names
 from yardline.sources.readers import CORRUPT, read_event_lines
 from yardline.tables import EVENT_BATCHES, EVENT_LANDING, EVENT_TABLE, INGESTION_DATE, measure_spec
@@ -102,7 +102,8 @@ def event_sums(spark: SparkSession, lake: Lake, date: str, names: Names = DOMAIN
         lines = read_event_lines(
             spark, lake.path("bronze", EVENT_TABLE), stream_folders(lake), names, dates=opened
         )
-        watched, counts = observed(lines, "events", malformed=F.count_if(F.col(CORRUPT).isNotNull()))
+        malformed = F.count_if(F.col(CORRUPT).isNotNull())
+        watched, counts = observed(lines, "events", malformed=malformed)
         events = watched.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
         parts.append(grain_sums(typed(events, measure_spec(names)), names))
     if not parts:
@@ -111,7 +112,7 @@ def event_sums(spark: SparkSession, lake: Lake, date: str, names: Names = DOMAIN
     place = f"{root}/{_UPTO}{date}"
     total.write.mode("overwrite").parquet(f"{place}/sums")
     if counts is not None:
-        found = counts.get
+        found = observed_or_counted(counts, lines, malformed=malformed)
     covered = [(*key, *told) for key, told in sorted(now.items())]
     spark.createDataFrame(covered, _COVERED).coalesce(1).write.mode("overwrite").parquet(f"{place}/covered")
     sums = spark.read.schema(sums_schema(names)).parquet(f"{place}/sums")

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -65,6 +66,18 @@ def observed(df: DataFrame, name: str, **columns: Column) -> tuple[DataFrame, Ob
     return df.observe(observation, *counts), observation
 
 
+def observed_or_counted(observation: Observation, df: DataFrame, **columns: Column) -> dict:
+    """What was observed on the way to a write; counted by a job of its own where nothing was.
+
+    Spark drops a part of the plan that turns out to be empty while it runs, and what was observed in it.
+    """
+    try:
+        return observation.get
+    except Py4JError:
+        counts = [column.alias(key) for key, column in columns.items()]
+        return df.agg(F.count(F.lit(1)).alias("rows"), *counts).first().asDict()
+
+
 class StreamMetrics(StreamingQueryListener):
     """Progress, observed counts, lateness and outcome of streams, appended to the run metrics.
 
