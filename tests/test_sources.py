@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,7 +9,7 @@ from tests.golden import write_seeds
 from yardline import Lake
 from yardline.plans import source_prep
 from yardline.plans.pipeline import Run, run_stages
-from yardline.session import build_session, materialise, scratch_dir
+from yardline.session import build_session, materialise, remove_scratch, scratch_dir
 from yardline.sources import readers
 from yardline.sources.lake import child_names, write_csv, write_parquet
 from yardline.tables import batch_table
@@ -32,6 +33,15 @@ def test_scratch_is_below_the_shared_checkpoint_folder(spark):
     assert kept.count() == 3 and shared in kept.inputFiles()[0]
 
 
+def test_scratch_tables_of_one_folder_go_together(spark):
+    folder = scratch_dir(spark, "early")
+    gone, kept = materialise(spark.range(3), "a", within=folder), materialise(spark.range(4), "b", compression="zstd")
+    assert gone.count() == 3 and all(folder.split("/")[-1] in f for f in gone.inputFiles())
+    remove_scratch(spark, folder)
+    assert not Path(folder.removeprefix("file:")).exists() and kept.count() == 4
+    assert all(".zstd." in f for f in kept.inputFiles())
+
+
 def test_session_settings(spark):
     session = build_session("again")
     assert session.conf.get("spark.sql.session.timeZone") == "UTC"

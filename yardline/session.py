@@ -40,11 +40,18 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/yardline/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str) -> DataFrame:
+def materialise(df: DataFrame, purpose: str, *, within: str | None = None, compression: str = "snappy") -> DataFrame:
     """Write a result that several branches read to the shared scratch folder, once.
 
-    Unlike cached blocks it outlives lost executors, and its lineage is one file scan.
+    Unlike cached blocks it outlives lost executors, and its lineage is one file scan. ``within``: a folder of
+    ``scratch_dir`` for tables that ``remove_scratch`` takes away together.
     """
-    path = scratch_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    path = f"{within}/{purpose}-{uuid.uuid4().hex}" if within else scratch_dir(df.sparkSession, purpose)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of ``scratch_dir`` once all that was made of its tables is written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
