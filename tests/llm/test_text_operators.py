@@ -1,6 +1,7 @@
 """Quality rules, near duplicates, repeated strings and benchmark leaks against plain versions."""
 
 import hashlib
+import os
 import re
 
 import pytest
@@ -140,6 +141,14 @@ def test_one_string_in_many_contexts_is_never_in_one_place(spark, monkeypatch):
     assert sum(n >= 120 for n, _, _ in plain) == 79 and max(gathered) <= 8
 
 
+def test_early_tables_of_repeated_strings_are_removed(docs, monkeypatch):
+    folders, made = [], suffix_dedup.scratch_dir
+    monkeypatch.setattr(suffix_dedup, "scratch_dir", lambda *a: folders.append(made(*a)) or folders[-1])
+    found = suffix_dedup.remove_repeats(docs, length=40, gram=12, group=1)
+    assert len(folders) == 1 and not os.path.exists(folders[0].removeprefix("file:"))
+    assert found.count() == docs.count()
+
+
 def test_repeats_leave_other_columns(docs):
     done = suffix_dedup.drop_repeats(docs.filter("doc_id in (0, 1, 4)").dropDuplicates(["doc_id"]))
     found = {r["doc_id"]: r for r in done.collect()}

@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yardline.llm.hashing import Slices, mix, powers
-from yardline.llm.text import map_batches, materialise
+from yardline.llm.text import map_batches, materialise, scratch_dir
+from yardline.session import remove_scratch
 
 LENGTH = 100
 GRAM = 24
@@ -428,11 +429,11 @@ def _where(keep: list[bool], column: pa.Array) -> pa.Array:
     return column.take(pa.array([k if yes else None for k, yes in enumerate(keep)], pa.int64()))
 
 
-def _aggregated(parts: DataFrame, name: str, *, length: int) -> tuple[DataFrame, DataFrame]:
+def _aggregated(parts: DataFrame, name: str, *, length: int, within: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Of written parts h, c, d, t, s, w: one row of equal ones (h, c, first, w, n), and spans (d, t, span) of the others."""
     firsts = materialise(
         parts.groupBy("h", "c").agg(F.min(F.struct("d", "t", "s")).alias("first"), F.max("w").alias("w"), F.count("*").alias("n")),
-        name,
+        name, within=within,
     )
     copies = (
         parts.join(firsts.filter("n > 1").select("h", "c", "first"), ["h", "c"])
@@ -442,9 +443,9 @@ def _aggregated(parts: DataFrame, name: str, *, length: int) -> tuple[DataFrame,
     return firsts, copies
 
 
-def _asked(firsts: DataFrame, group: int, beyond: Callable[[Column], Column]) -> DataFrame:
+def _asked(firsts: DataFrame, group: int, beyond: Callable[[Column], Column], *, within: str | None = None) -> DataFrame:
     """d, t and the segments (s, w, h, depth) asked of that text: depth 1 in groups of up to ``group`` different ones."""
-    sizes = materialise(firsts.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1"), "group-sizes")
+    sizes = materialise(firsts.groupBy("h").agg(F.count("*").alias("size")).filter("size > 1"), "group-sizes", within=within)
     depth = F.when(F.col("size") <= group, 1).otherwise(beyond(F.col("size"))).cast("int")
     return (
         firsts.join(sizes.select("h", depth.alias("depth")), "h")
@@ -481,12 +482,14 @@ def remove_repeats(
     else:  # written, so that the numbers stay the same in all later reads
         base = materialise(base.withColumn("t", F.monotonically_increasing_id()), "numbered")
 
+    # Tables that nothing reads once texts stand beside what is asked of them.
+    early = scratch_dir(docs.sparkSession, "early")
     every = segments(base, length=length, gram=gram)
     # Written, so that the join reads two plain inputs and Spark can split a hash with very many rows.
-    repeated = materialise(every.groupBy("h").count().filter("count > 1").select("h"), "repeated")
-    shared = materialise(every.join(repeated, "h"), "segments")
-    firsts, copies = _aggregated(shared, "distinct-segments", length=length)
-    asked = _asked(firsts, group, lambda size: 2 + F.ceil(F.log2(size / group)))
+    repeated = materialise(every.groupBy("h").count().filter("count > 1").select("h"), "repeated", within=early)
+    shared = materialise(every.join(repeated, "h"), "segments", within=early)
+    firsts, copies = _aggregated(shared, "distinct-segments", length=length, within=early)
+    asked = _asked(firsts, group, lambda size: 2 + F.ceil(F.log2(size / group)), within=early)
     copied = copies.groupBy("d", "t").agg(F.collect_list("span").alias("spans"))
 
     def on(other: DataFrame, a: str, b: str) -> Column:
@@ -496,12 +499,13 @@ def remove_repeats(
         copied.alias("x").join(asked.alias("y"), on(asked, "x", "y"), "full").select(
             F.coalesce("x.d", "y.d").alias("d"), F.coalesce("x.t", "y.t").alias("t"), "spans", "asked"
         ),
-        "per-document",
+        "per-document", within=early,
     )
     joined = base.alias("x").join(info.alias("y"), on(info, "x", "y"), "left").select(
         "row", "x.d", "x.t", "body", "spans", "asked"
     )
-    state = materialise(_finished(joined, with_text=with_text, keep_open=True), "texts")
+    state = materialise(_finished(joined, with_text=with_text, keep_open=True), "texts", compression="zstd")
+    remove_scratch(docs.sparkSession, early)
     columns = ["row", *T.StructType.fromDDL(_RESULT).fieldNames()]
     closed = state.filter("n_bytes is not null").select(*columns)
     still = state.filter("n_bytes is null")
