@@ -40,14 +40,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/yardline/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, purpose: str, *, within: str | None = None, compression: str = "snappy") -> DataFrame:
+def materialise(df: DataFrame, purpose: str, *, within: str | None = None, compression: str | None = None) -> DataFrame:
     """Write a result that several branches read to the shared scratch folder, once.
 
     Unlike cached blocks it outlives lost executors, and its lineage is one file scan. ``within``: a folder of
-    ``scratch_dir`` for tables that ``remove_scratch`` takes away together.
+    ``scratch_dir`` for tables that ``remove_scratch`` takes away together. ``compression``: the session's unless given.
     """
     path = f"{within}/{purpose}-{uuid.uuid4().hex}" if within else scratch_dir(df.sparkSession, purpose)
-    df.write.option("compression", compression).parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
