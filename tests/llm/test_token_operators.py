@@ -71,6 +71,17 @@ def test_word_table_starts_anew():
     assert table.ids[table.start[place]].tolist() == [4] and calls == [3, 1]
 
 
+def test_words_met_again_come_back_from_the_earlier_generation():
+    calls = []
+    table = pretokens.WordTable(lambda new: calls.append(list(new)) or [[len(w)] * len(w) for w in new], max_words=2)
+    for words in ([b"a", b"bb", b"ccc"], [b"bb", b"dddd", b"e"], [b"bb", b"a", b"ff"]):
+        rows = table.places(words)
+        got = [table.ids[table.start[k] : table.start[k + 1]].tolist() for k in rows]
+        assert got == [[len(w)] * len(w) for w in words]
+    # "bb" stays as it is met in each generation; "a" was not met in the second one.
+    assert calls == [[b"a", b"bb", b"ccc"], [b"dddd", b"e"], [b"a", b"ff"]]
+
+
 def test_encode(spark, library):
     got = rows(bpe.encode(corpus.table(spark), PATH, with_text=True), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "decoded")
     want = []

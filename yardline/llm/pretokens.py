@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain, compress
 
 import numpy as np
 import regex
@@ -17,8 +18,8 @@ from tokenizers import pre_tokenizers
 LETTER, NUMBER, OTHER, SPACE = range(4)
 #: Code points handled at once; bounds the memory of a task whatever the length of its texts.
 PIECE_CHARS = 1 << 18
-#: Words remembered by a worker before it starts anew.
-MAX_WORDS = 120_000
+#: Words of a generation that a worker remembers; it holds two.
+MAX_WORDS = 60_000
 _SHORT = 16
 
 _classes: np.ndarray | None = None
@@ -122,7 +123,11 @@ def token_starts(codes: np.ndarray, first: np.ndarray, whole: np.ndarray) -> np.
 
 
 class WordTable:
-    """Token ids of the words seen by this worker, at most ``max_words`` of them."""
+    """Token ids of the words seen by this worker, at most ``max_words`` of them in each of two generations.
+
+    A full generation becomes the earlier one: words that are met again come back from it without being
+    encoded, and the others go with the next.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], max_words: int = MAX_WORDS):
         self.encode, self.max_words = encode, max_words
@@ -132,22 +137,35 @@ class WordTable:
         self.place: dict[bytes, int] = {}
         self.start = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self._earlier = self.place, self.start, self.ids
 
     def places(self, words: list[bytes]) -> np.ndarray:
         """Rows of the words (which must be distinct or few), after encoding those not seen before."""
         if len(self.place) > self.max_words:
+            full = self.place, self.start, self.ids
             self.clear()
+            self._earlier = full
         place = self.place
-        new = [w for w in dict.fromkeys(words) if w not in place]
-        if new:
-            coded = self.encode(new)
-            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-            flat = np.fromiter((i for ids in coded for i in ids), np.int32, int(sizes.sum()))
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
-            self.ids = np.concatenate([self.ids, flat])
-            at = len(place)
-            place.update(zip(new, range(at, at + len(new)), strict=True))
-        return np.fromiter((place[w] for w in words), np.int64, len(words))
+        found = list(map(place.get, words))
+        if None in found:
+            missing = list(dict.fromkeys(compress(words, [row is None for row in found])))
+            place_before, start, ids = self._earlier
+            rows = list(map(place_before.get, missing))
+            new = [w for w, row in zip(missing, rows, strict=True) if row is None]
+            known = [w for w, row in zip(missing, rows, strict=True) if row is not None]
+            back = np.array([row for row in rows if row is not None], np.int64)
+            self._add(known, ids[ragged(start[back], start[back + 1] - start[back])], start[back + 1] - start[back])
+            coded = self.encode(new) if new else []
+            sizes = np.array(list(map(len, coded)), np.int64)
+            self._add(new, np.fromiter(chain.from_iterable(coded), np.int32, int(sizes.sum())), sizes)
+            found = list(map(place.__getitem__, words))
+        return np.array(found, np.int64)
+
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        at = len(self.place)
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.place.update(zip(words, range(at, at + len(words)), strict=True))
 
 
 def _masks() -> np.ndarray:
@@ -183,8 +201,13 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
 
 
-def encode_texts(texts: list[str], table: WordTable, special: tuple[str, ...] = ()) -> Iterator[np.ndarray]:
-    """Token ids (int32) of each text in turn; special tokens are words of the table as well."""
+def encode_texts(
+    texts: list[str], table: WordTable, special: tuple[str, ...] = (), at_once: int = PIECE_CHARS
+) -> Iterator[np.ndarray]:
+    """Token ids (int32) of each text in turn; special tokens are words of the table as well.
+
+    ``at_once``: code points handled together, whose equal words are looked up once.
+    """
     batch: list[tuple[int, str, bool]] = []
     chars = 0
     done: dict[int, list[np.ndarray]] = {}
@@ -194,7 +217,7 @@ def encode_texts(texts: list[str], table: WordTable, special: tuple[str, ...] =
         for part, whole in pieces(text, special):
             batch.append((k, part, whole))
             chars += len(part)
-            if chars >= PIECE_CHARS:
+            if chars >= at_once:
                 _encode_pieces(batch, table, done)
                 batch, chars = [], 0
                 while following < k:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,11 @@ from yardline.llm.text import map_batches, materialise, scratch_dir, text_slices
 END_ID = 2
 STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 1_000
+#: Words of a generation here; two hold some 70 MB.
+MAX_WORDS = 200_000
+#: Code points encoded together, and bytes of text taken from an Arrow batch for them.
+CHARS_AT_ONCE = 1 << 20
+SLICE_BYTES = 1 << 21
 
 _workers: dict[str, tuple[WordTable, tuple[str, ...]]] = {}
 
@@ -41,13 +47,13 @@ def library_words(path: str) -> tuple[WordTable, tuple[str, ...]]:
         special = {t.encode(): [i] for t, i in added.items()}
 
         def encode(words: list[bytes]) -> list[list[int]]:
-            spelled = (w.decode("latin-1").translate(alphabet) for w in words)
-            return [
-                special[w] if w in special else [t.id for t in model.tokenize(x)]
-                for w, x in zip(words, spelled, strict=True)
-            ]
+            # A character for each byte, so words are cut where their bytes end.
+            spelled = b"".join(words).decode("latin-1").translate(alphabet)
+            ends = list(accumulate(map(len, words)))
+            cut = map(spelled.__getitem__, map(slice, [0, *ends[:-1]], ends))
+            return [special[w] if w in special else [t.id for t in model.tokenize(x)] for w, x in zip(words, cut, strict=True)]
 
-        _workers[path] = WordTable(encode), tuple(added)
+        _workers[path] = WordTable(encode, MAX_WORDS), tuple(added)
     return _workers[path]
 
 
@@ -79,9 +85,9 @@ def write_tokens(
         use_class_runs(runs)
         table, special = library_words(tokenizer)
         part, start = TaskContext.get().partitionId(), 0
-        for batch in (some for whole in batches for some in text_slices(whole, 1)):
+        for batch in (some for whole in batches for some in text_slices(whole, 1, SLICE_BYTES)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            coded = [np.append(ids, np.int32(end_id)) for ids in encode_texts(texts, table, special)]
+            coded = [np.append(ids, np.int32(end_id)) for ids in encode_texts(texts, table, special, CHARS_AT_ONCE)]
             size = np.fromiter(map(len, coded), np.int64, len(coded))
             ends = start + np.cumsum(size)
             flat = np.concatenate([*coded, np.zeros(0, np.int32)])
