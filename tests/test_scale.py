@@ -10,6 +10,7 @@ from tests.conftest import rows
 from workload import lake_queries  # noqa: F401  (registers its queries)
 from workload import queries as q
 from workload import tables as t
+from yardline.operators import marts
 from yardline.operators.checks import Refers, Unique, check
 from yardline.operators.clean import newest_per_key
 from yardline.operators.integrate import first_per_event, grain_sums
@@ -137,3 +138,17 @@ def test_entity_window_and_totals_reuse_the_join_partitioning(spark):
 
 def test_every_sql_belongs_to_a_query():
     assert set(q.ORACLES) <= set(q.QUERIES)
+
+
+def test_entity_targets_are_not_broadcast(spark):
+    """Files of targets are far smaller than their rows, so their size must not decide for a broadcast."""
+    total = spark.createDataFrame(
+        [(2024, k, f"m{k}", "A", 1, "N", "p", 10, 5, 500.0, 50.0) for k in range(20)] + [(2024, None, None, None, None, None, "p", 1, 1, 1.0, 100.0)],
+        "ano int, id_municipio long, nome_municipio string, sigla_uf string, id_uf int, nome_regiao string, rede string, "
+        "qtd_avaliados long, qtd_alfabetizados long, media_proficiencia double, indicador_pct double",
+    )
+    targets = spark.createDataFrame([(2024, k, 40.0) for k in range(0, 20, 2)], "ano int, id_municipio long, meta_indicador double")
+    for mart in (marts.indicator(total, targets), marts.fact(total, targets)):
+        assert "BroadcastHashJoin" not in plan(mart)
+        met = {r.id_municipio: r.atingiu_meta for r in mart.collect()}
+        assert met == {k: True if k is not None and k % 2 == 0 else None for k in [*range(20), None]}

@@ -22,11 +22,18 @@ def dimension(entities: DataFrame, groups: DataFrame, names: Names = DOMAIN) ->
 
 
 def against_target(
-    rows: DataFrame, targets: DataFrame, by: str, target_name: str, names: Names = DOMAIN
+    rows: DataFrame, targets: DataFrame, by: str, target_name: str, names: Names = DOMAIN, many: bool = False
 ) -> DataFrame:
     """Put the yearly target beside each row. The rounded indicator is compared
-    with the target as published, and the gap is rounded again."""
+    with the target as published, and the gap is rounded again.
+
+    ``many``: there are targets for about as many keys as rows. These are joined by sorting, since the size
+    of the files they come from tells too little for a broadcast: seven targets a customer, each a hundred
+    bytes in a broadcast table, from five bytes of a file.
+    """
     keyed = targets.select(names.year, by, F.col(names.target).alias(target_name))
+    if many:
+        keyed = keyed.hint("merge")
     joined = rows.join(keyed, [names.year, by], "left")
     value, target = F.col(names.pct), F.col(target_name)
     return joined.withColumns(
@@ -36,7 +43,7 @@ def against_target(
 
 def fact(measures: DataFrame, entity_targets: DataFrame, names: Names = DOMAIN) -> DataFrame:
     compared = against_target(
-        measures, entity_targets, names.entity, names.entity_target, names
+        measures, entity_targets, names.entity, names.entity_target, names, many=True
     )
     return compared.select(
         names.year,
@@ -81,7 +88,7 @@ def consolidated(measures: DataFrame, names: Names = DOMAIN) -> DataFrame:
 
 
 def indicator(total: DataFrame, entity_targets: DataFrame, names: Names = DOMAIN) -> DataFrame:
-    compared = against_target(total, entity_targets, names.entity, names.entity_target, names)
+    compared = against_target(total, entity_targets, names.entity, names.entity_target, names, many=True)
     return compared.select(
         names.year,
         names.entity,
