@@ -10,6 +10,8 @@ from tests.golden import EVENT, write_seeds
 from yardline import Lake
 from yardline.plans import event_sums as es
 from yardline.plans.pipeline import Run, run_stages
+from yardline.session import materialise
+from yardline.sources import lake as lake_files
 from yardline.sources.lake import write_changed
 from yardline.tables import EVENT_LANDING, EVENT_TABLE
 
@@ -160,6 +162,19 @@ def test_foreign_and_broken_files_mend(spark, tmp_path):
     assert write_changed(frame(spark, []), empty, "year").rows == 0 and os.path.isdir(empty)
 
 
+def test_a_new_table_is_computed_and_written_once(spark, tmp_path, monkeypatch):
+    staged = []
+    monkeypatch.setattr(lake_files, "materialise", lambda df, purpose: staged.append(purpose) or materialise(df, purpose))
+    path, table = str(tmp_path / "t"), spark.createDataFrame([(2024, 1), (2025, 2), (None, 3)], "ano int, v int")
+    first = write_changed(table, path, "ano")
+    assert not staged and (len(first.written), first.kept, first.rows) == (3, [], 3)
+    second = write_changed(table.filter("v <> 2"), path, "ano")
+    assert staged == ["changed"] and (second.written, len(second.kept), second.removed) == ([], 2, ["ano=2025"])
+    assert rows(spark.read.parquet(path), "ano", "v") == [(None, 3), (2024, 1)]
+    empty = write_changed(table.limit(0), str(tmp_path / "e"), "ano")
+    assert (empty.written, empty.rows) == ([], 0) and spark.read.schema(table.schema).parquet(str(tmp_path / "e")).count() == 0
+
+
 def test_text_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     data = spark.createDataFrame([("a b", 1), ("x/y=z", 2), ("é", 3), ("", 4), (None, 5), ("10%", 6)], "p string, v int")

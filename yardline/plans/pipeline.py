@@ -173,21 +173,22 @@ def _write_clean(run: Run, spec: TableSpec) -> None:
 
 
 def silver(run: Run) -> None:
-    together(run, [partial(_write_clean, run, s) for s in BATCH_TABLES.values() if s.key])
-    spec = batch_table("alunos")
+    """Events are summed while the tables are cleaned, and malformed ones set apart while measures are written."""
+    spec, events = batch_table("alunos"), []
+    cleaned = [partial(_write_clean, run, s) for s in BATCH_TABLES.values() if s.key]
+    together(run, [lambda: events.append(_event_part(run, spec)), *cleaned])
     entities = read_layer(run.spark, run.lake, "silver", "municipio")
     groups = read_layer(run.spark, run.lake, "silver", "uf")
     batch = typed(_bronze(run, spec), spec)
 
-    streamed, lines, seen = _event_part(run, spec)
+    streamed, lines, seen = events[0]
     sums = add_stream(grain_sums(batch), streamed)
     measures = enrich(finish(sums, null_scores=run.null_scores), marts.dimension(entities, groups))
-    _write(run, "silver", "alunos", measures, [N.entity, N.segment])
+    writes = [partial(_write, run, "silver", "alunos", measures, [N.entity, N.segment])]
+    together(run, [*writes, *([partial(_quarantine_events, run, lines)] if lines is not None else [])])
     found = seen()
     run.metrics.add("silver", "RecordsRead", found["rows"], table=EVENT_TABLE)
     run.metrics.add("silver", "RecordsMalformed", found["malformed"], table=EVENT_TABLE)
-    if lines is not None:
-        _quarantine_events(run, lines)
 
 
 def _event_part(run: Run, spec: TableSpec) -> tuple[DataFrame, DataFrame | None, Callable[[], dict]]:

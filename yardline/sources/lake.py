@@ -128,9 +128,16 @@ def write_changed(df: DataFrame, path: str, partition_by: str, sort_by: Sequence
     are compared with those kept beside the table, which also name its files: a partition whose files
     are not the recorded ones counts as changed, so a broken run or a foreign write mends itself. Changed partitions are
     replaced together by one dynamic overwrite; files of all others keep their names. The driver sees a row per partition.
+    A table that is not there yet has nothing to be compared with: it is written in its place and summed from there.
     """
     spark, names = df.sparkSession, sorted(df.columns)
-    staged = materialise(df, "changed")
+    # Text is staged in any case, since a folder's name does not tell empty text from null.
+    new = child_names(spark, path) is None and isinstance(df.schema[partition_by].dataType, T.IntegralType)
+    if new:
+        write_parquet(df, path, partition_by=[partition_by], sort_by=sort_by)
+        staged = spark.read.schema(df.schema).parquet(path)
+    else:
+        staged = materialise(df, "changed")
     row = F.xxhash64(*[F.col(f"`{c}`") for c in names])
     # Spark keeps empty text and null in one folder.
     value = F.nullif(F.col(f"`{partition_by}`").cast("string"), F.lit(""))
@@ -141,13 +148,13 @@ def write_changed(df: DataFrame, path: str, partition_by: str, sort_by: Sequence
     )
     columns = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in sorted(staged.schema, key=lambda f: f.name))
     wanted = {partition_folder(partition_by, r["value"]): (r["value"], r["rows"], r["total"], r["parity"], columns) for r in sums.collect()}
-    there = [c for c in child_names(spark, path) or [] if not c.startswith(("_", "."))]
+    there = [] if new else [c for c in child_names(spark, path) or [] if not c.startswith(("_", "."))]
     foreign = any(not c.startswith(f"{partition_by}=") for c in there)
     known = {} if foreign else _checksums(spark, path)
     same = [f for f, told in wanted.items() if known.get(f) == (*told[1:], _file_names(spark, f"{path}/{f}"))]
     changed = sorted(set(wanted) - set(same))
     gone = [] if foreign else sorted(set(there) - set(wanted))
-    if changed or foreign or child_names(spark, path) is None:
+    if not new and (changed or foreign or child_names(spark, path) is None):
         values = [wanted[f][0] for f in changed]
         part = staged.filter(value.isin([v for v in values if v is not None]) | (value.isNull() if None in values else F.lit(False)))
         write_parquet(part, path, partition_by=[partition_by], sort_by=sort_by, replace="all" if foreign else "partitions")
