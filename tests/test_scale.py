@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from tests.conftest import rows
 from workload import lake_queries  # noqa: F401  (registers its queries)
@@ -15,6 +16,7 @@ from yardline.operators.checks import Refers, Unique, check
 from yardline.operators.clean import newest_per_key
 from yardline.operators.integrate import first_per_event, grain_sums
 from yardline.operators.microdata import weighted_sums
+from yardline.tables import BATCH_TABLES
 
 DATA = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -152,3 +154,26 @@ def test_entity_targets_are_not_broadcast(spark):
         assert "BroadcastHashJoin" not in plan(mart)
         met = {r.id_municipio: r.atingiu_meta for r in mart.collect()}
         assert met == {k: True if k is not None and k % 2 == 0 else None for k in [*range(20), None]}
+
+
+def test_every_layered_query_runs_all_of_its_stages(spark, monkeypatch):
+    runs = []
+    monkeypatch.setattr(lake_queries, "_prepared", lambda spark, folder, root, date: root)
+    monkeypatch.setattr(lake_queries, "run_stages", runs.append)
+    assert lake_queries._layered_run(spark, DATA) != lake_queries._layered_run(spark, DATA)
+    assert len(set(runs)) == 2
+
+
+@needs_data
+def test_sources_of_several_dates_are_exported_once(spark, monkeypatch):
+    made, ran = [], []
+    monkeypatch.setattr(lake_queries, "write_csv", lambda rows, path, columns: made.append(path.rpartition("/")[2]))
+    monkeypatch.setattr(lake_queries, "run_stages", lambda run, stages, tables=None: ran.append((run.ingestion_date, tuple(stages))))
+    with pytest.raises(AnalysisException):  # nothing was written that could be read
+        q.QUERIES["backfill_run"](spark, DATA)
+    assert Counter(made) == Counter([f"{name}.csv" for name in BATCH_TABLES] + ["meta_uf.csv"])
+    assert [date for date, stages in ran if "silver" in stages] == ["2026-01-01", "2026-01-02", "2026-01-01"]
+    made.clear()
+    with pytest.raises(AnalysisException):
+        q.QUERIES["incremental_silver_run"](spark, DATA)
+    assert sorted(made) == sorted(f"{name}.csv" for name in BATCH_TABLES)

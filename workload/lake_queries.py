@@ -23,7 +23,7 @@ from yardline.operators.microdata import weighted_microdata
 from yardline.operators.checks import check_all
 from yardline.operators.events import valid_events
 from yardline.plans import catalog, source_prep
-from yardline.plans.metrics import StreamMetrics
+from yardline.plans.metrics import RunMetrics, StreamMetrics
 from yardline.plans.pipeline import (
     QUARANTINE,
     Run,
@@ -44,7 +44,7 @@ from yardline.sources.lake import (
 )
 from yardline.streaming import events as ev
 from yardline.streaming import totals
-from yardline.tables import EVENT_TABLE, INGESTED_AT, INGESTION_DATE, entity_spec, measure_spec
+from yardline.tables import BATCH_TABLES, EVENT_TABLE, INGESTED_AT, INGESTION_DATE, entity_spec, measure_spec
 
 # --- scans and sinks ------------------------------------------------------------------
 
@@ -492,26 +492,37 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- the layered run ------------------------------------------------------------------
 
-_RUNS: dict[tuple[str, str], Run] = {}
-
 
 def _prepared(
-    spark: SparkSession, folder: str, root: str, date: str, lines: DataFrame | None = None, **changed: DataFrame
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    date: str,
+    lines: DataFrame | None = None,
+    seeds: str | None = None,
+    **changed: DataFrame,
 ) -> Run:
-    """A run over sources exported from the tables, of which some may be changed."""
-    seeds, lake = f"{root}/seeds-{date}", Lake(f"{root}/lake")
+    """A run over sources exported from the tables, of which some may be changed.
+
+    With ``seeds``, a folder where they lie already, only those that are changed are exported.
+    """
+    lake = Lake(f"{root}/lake")
     renamed = dict(zip(dataclasses.astuple(E), dataclasses.astuple(DOMAIN), strict=True))
-    sources = {
-        "uf": t.groups(spark, folder),
-        "municipio": t.entities(spark, folder),
-        "meta_brasil": t.group_targets(spark, folder).groupBy(E.year).agg(
-            F.round(F.max(E.target), 1).alias(E.target)
-        ),
-        "meta_uf": t.group_targets(spark, folder),
-        "meta_municipio": t.entity_targets(spark, folder),
-        "alunos": t.batch(spark, folder),
-        **changed,
-    }
+    sources = dict(changed)
+    if seeds is None:
+        sources = {
+            "uf": t.groups(spark, folder),
+            "municipio": t.entities(spark, folder),
+            "meta_brasil": t.group_targets(spark, folder).groupBy(E.year).agg(
+                F.round(F.max(E.target), 1).alias(E.target)
+            ),
+            "meta_uf": t.group_targets(spark, folder),
+            "meta_municipio": t.entity_targets(spark, folder),
+            "alunos": t.batch(spark, folder),
+            **changed,
+        }
+    if seeds is None or changed:
+        seeds = f"{root}/seeds-{date}"
     exports = []
     for name, rows in sources.items():
         rows = rows.withColumnsRenamed(renamed)
@@ -525,13 +536,11 @@ def _prepared(
 
 
 def _layered_run(spark: SparkSession, folder: str) -> Run:
-    """Bronze, silver, gates and gold; one run per session and folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _RUNS:
-        run = _prepared(spark, folder, scratch_dir(spark, "lake"), "2026-01-05")
-        run_stages(run)
-        _RUNS[key] = run
-    return _RUNS[key]
+    """Bronze, silver, gates and gold. Every query has a run of its own: kept for others, it would be the
+    work of whichever came first, and what the others take would not be told by their own figures."""
+    run = _prepared(spark, folder, scratch_dir(spark, "lake"), "2026-01-05")
+    run_stages(run)
+    return run
 
 
 # Lines cut short are no events: the run counts them and keeps them apart.
@@ -673,9 +682,14 @@ def backfill_run(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_dir(spark, "backfill")
     targets = t.group_targets(spark, folder)
     first = _prepared(spark, folder, root, "2026-01-01")
-    later = _prepared(spark, folder, root, "2026-01-02", meta_uf=targets.filter(f"{E.year} < 1998"))
-    for run in (first, later, first):
-        run_stages(run, ["bronze", "silver"])
+    fewer = targets.filter(f"{E.year} < 1998")
+    later = _prepared(spark, folder, root, "2026-01-02", seeds=first.seeds, meta_uf=fewer)
+    run_stages(first, ["bronze", "silver"])
+    # The later date has group targets of its own and all other sources from where the first has them.
+    others = [name for name in BATCH_TABLES if name != "meta_uf"]
+    run_stages(dataclasses.replace(later, seeds=first.seeds, metrics=RunMetrics()), ["bronze"], others)
+    run_stages(later, ["bronze", "silver"], ["meta_uf"])
+    run_stages(first, ["bronze", "silver"])
     return first.lake.read(spark, "silver", "meta_uf")
 
 
@@ -692,8 +706,10 @@ def incremental_silver_run(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_dir(spark, "incremental")
     lake = Lake(f"{root}/lake")
     numbered = t.event_lines(spark, folder, DOMAIN).withColumn("part", F.pmod(F.hash("value"), F.lit(3)))
+    seeds = None
     for k, date in enumerate(("2026-01-01", "2026-01-02", "2026-01-03")):
-        run = _prepared(spark, folder, root, date, lines=numbered.filter(F.col("part") == k).select("value"))
+        run = _prepared(spark, folder, root, date, numbered.filter(F.col("part") == k).select("value"), seeds)
+        seeds = run.seeds  # the same sources for every date
         run_stages(run, ["bronze", "silver"])
     return lake.read(spark, "silver", "alunos").select(
         "ano", "id_municipio", "rede", "qtd_avaliados", "qtd_alfabetizados", "media_proficiencia", "indicador_pct"
