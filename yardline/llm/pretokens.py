@@ -65,7 +65,7 @@ def pieces(text: str, special: tuple[str, ...], size: int = PIECE_CHARS) -> Iter
 
     Cuts lie at special tokens and, in long texts, between a character and white space after it.
     """
-    parts = re.split("(" + "|".join(map(re.escape, special)) + ")", text) if special else [text]
+    parts = re.split("(" + "|".join(map(re.escape, special)) + ")", text) if any(s in text for s in special) else [text]
     for k, part in enumerate(parts):
         if k % 2 or len(part) <= size:
             if part:
