@@ -1,6 +1,8 @@
 """BPE and token files against the tokenizers library."""
 
 import hashlib
+import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -82,6 +84,41 @@ def test_words_met_again_come_back_from_the_earlier_generation():
     assert calls == [[b"a", b"bb", b"ccc"], [b"dddd", b"e"], [b"a", b"ff"]]
 
 
+def test_short_words_are_looked_up_as_numbers():
+    """Words of all lengths around eight and sixteen bytes, zero bytes included, over several generations."""
+    rnd, calls = random.Random(5), []
+    table = pretokens.WordTable(lambda new: calls.extend(new) or [list(w) for w in new], max_words=300)
+    stems = [rnd.randbytes(rnd.randrange(1, 20)) for _ in range(150)] + [b"a" * k + b"\0" * z for k in range(1, 18) for z in range(3)]
+    for part in range(8):
+        words = rnd.choices(stems, k=400) + [part.to_bytes(1) + x for x in stems]
+        at = np.cumsum([0, *map(len, words)])
+        rows = pretokens._word_places(b"".join(words), at[:-1], np.diff(at), table)
+        assert [bytes(table.ids[table.start[k] : table.start[k + 1]].tolist()) for k in rows] == words
+        assert all(len(w) > 15 for w in table.place)
+        # A word that both generations lack is encoded once, whatever its number of places.
+        assert len(calls) == len(set(calls)) and set(calls) <= set(words)
+        calls.clear()
+
+
+def test_short_words_of_one_key_are_not_mixed_up():
+    held, one = pretokens.ShortWords(), np.ones(1, np.uint64)
+    for low, row in ((7, 3), (8, 4)):
+        assert held.find(5 * one, low * one, one).tolist() == [-1]
+        held.add(5 * one, low * one, one, np.array([row]))
+    assert [held.find(5 * one, low * one, one).tolist() for low in (7, 8, 9)] in ([[3], [-1], [-1]], [[-1], [4], [-1]])
+
+
+def test_words_held_take_few_bytes():
+    table = pretokens.WordTable(lambda new: [[1, 2, 3] for _ in new], max_words=10**6)
+    data = b"".join(b"%010d" % k for k in range(50_000))
+    at = np.arange(0, len(data), 10)
+    tracemalloc.start()
+    pretokens._word_places(data, at, np.full(len(at), 10), table)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(table.start) == 50_001 and held < 100 * 50_000
+
+
 def test_encode(spark, library):
     got = rows(bpe.encode(corpus.table(spark), PATH, with_text=True), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "decoded")
     want = []

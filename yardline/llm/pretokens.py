@@ -20,7 +20,8 @@ LETTER, NUMBER, OTHER, SPACE = range(4)
 PIECE_CHARS = 1 << 18
 #: Words of a generation that a worker remembers; it holds two.
 MAX_WORDS = 60_000
-_SHORT = 16
+#: Bytes of a word that is handled as two numbers.
+_SHORT = 15
 
 _classes: np.ndarray | None = None
 
@@ -122,11 +123,35 @@ def token_starts(codes: np.ndarray, first: np.ndarray, whole: np.ndarray) -> np.
     return np.flatnonzero(starts)
 
 
+class ShortWords:
+    """Rows of words of up to ``_SHORT`` bytes, each given as two numbers that spell it, found by sorted keys of these."""
+
+    def __init__(self) -> None:
+        self.keys, self.low, self.high = (np.zeros(0, np.uint64) for _ in range(3))
+        self.order, self.rows = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def find(self, key: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Rows of the words, -1 for those not held. Of words that share a key only one may be found."""
+        if not len(self.keys):
+            return np.full(len(key), -1)
+        at = self.order[np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)]
+        return np.where((self.low[at] == low) & (self.high[at] == high), self.rows[at], -1)
+
+    def add(self, key: np.ndarray, low: np.ndarray, high: np.ndarray, rows: np.ndarray) -> None:
+        """Hold more words, in ascending order of their keys."""
+        at = np.searchsorted(self.keys, key)
+        self.order = np.insert(self.order, at, np.arange(len(self.rows), len(self.rows) + len(key)))
+        self.keys = np.insert(self.keys, at, key)
+        self.low, self.high = np.concatenate([self.low, low]), np.concatenate([self.high, high])
+        self.rows = np.concatenate([self.rows, rows])
+
+
 class WordTable:
     """Token ids of the words seen by this worker, at most ``max_words`` of them in each of two generations.
 
     A full generation becomes the earlier one: words that are met again come back from it without being
-    encoded, and the others go with the next.
+    encoded, and the others go with the next. Short words come as numbers and are looked up by arrays, so
+    that only those not seen before become Python objects.
     """
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], max_words: int = MAX_WORDS):
@@ -135,37 +160,67 @@ class WordTable:
 
     def clear(self) -> None:
         self.place: dict[bytes, int] = {}
+        self.short = ShortWords()
         self.start = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.int32)
-        self._earlier = self.place, self.start, self.ids
+        self._earlier = self.place, self.short, self.start, self.ids
 
-    def places(self, words: list[bytes]) -> np.ndarray:
-        """Rows of the words (which must be distinct or few), after encoding those not seen before."""
-        if len(self.place) > self.max_words:
-            full = self.place, self.start, self.ids
+    def turn(self) -> None:
+        """Begin a new generation if this one is full; rows found before no longer hold then."""
+        if len(self.start) - 1 > self.max_words:
+            full = self.place, self.short, self.start, self.ids
             self.clear()
             self._earlier = full
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Rows of the words (which must be distinct or few), after encoding those not seen before."""
+        self.turn()
+        return self.long_places(words)
+
+    def long_places(self, words: list[bytes]) -> np.ndarray:
+        """``places`` in the present generation."""
         place = self.place
         found = list(map(place.get, words))
         if None in found:
             missing = list(dict.fromkeys(compress(words, [row is None for row in found])))
-            place_before, start, ids = self._earlier
-            rows = list(map(place_before.get, missing))
-            new = [w for w, row in zip(missing, rows, strict=True) if row is None]
-            known = [w for w, row in zip(missing, rows, strict=True) if row is not None]
-            back = np.array([row for row in rows if row is not None], np.int64)
-            self._add(known, ids[ragged(start[back], start[back + 1] - start[back])], start[back + 1] - start[back])
-            coded = self.encode(new) if new else []
-            sizes = np.array(list(map(len, coded)), np.int64)
-            self._add(new, np.fromiter(chain.from_iterable(coded), np.int32, int(sizes.sum())), sizes)
+            before = list(map(self._earlier[0].get, missing))
+            known = [w for w, row in zip(missing, before, strict=True) if row is not None]
+            new = [w for w, row in zip(missing, before, strict=True) if row is None]
+            rows = [*self._again(np.array([row for row in before if row is not None], np.int64)), *self._encoded(new)]
+            place.update(zip(known + new, map(int, rows), strict=True))
             found = list(map(place.__getitem__, words))
         return np.array(found, np.int64)
 
-    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
-        at = len(self.place)
+    def short_places(
+        self, key: np.ndarray, low: np.ndarray, high: np.ndarray, spelled: Callable[[np.ndarray], list[bytes]]
+    ) -> np.ndarray:
+        """Rows, in the present generation, of distinct short words in ascending order of their keys."""
+        rows = self.short.find(key, low, high)
+        missing = np.flatnonzero(rows < 0)
+        if len(missing):
+            before = self._earlier[1].find(key[missing], low[missing], high[missing])
+            known, new = missing[before >= 0], missing[before < 0]
+            rows[known] = self._again(before[before >= 0])
+            rows[new] = self._encoded(spelled(new))
+            self.short.add(key[missing], low[missing], high[missing], rows[missing])
+        return rows
+
+    def _again(self, rows: np.ndarray) -> np.ndarray:
+        """New rows with the ids of rows of the earlier generation."""
+        _, _, start, ids = self._earlier
+        sizes = start[rows + 1] - start[rows]
+        return self._add(ids[ragged(start[rows], sizes)], sizes)
+
+    def _encoded(self, words: list[bytes]) -> np.ndarray:
+        coded = self.encode(words) if words else []
+        sizes = np.array(list(map(len, coded)), np.int64)
+        return self._add(np.fromiter(chain.from_iterable(coded), np.int32, int(sizes.sum())), sizes)
+
+    def _add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        at = len(self.start) - 1
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, ids])
-        self.place.update(zip(words, range(at, at + len(words)), strict=True))
+        return np.arange(at, at + len(sizes))
 
 
 def _masks() -> np.ndarray:
@@ -173,25 +228,38 @@ def _masks() -> np.ndarray:
 
 
 def _word_places(data: bytes, at: np.ndarray, size: np.ndarray, table: WordTable) -> np.ndarray:
-    """Rows of ``table`` for the words at the given bytes; equal short words are found by sorting."""
-    buffer = np.frombuffer(data + bytes(_SHORT + 8), np.uint8)
+    """Rows of ``table`` for the words at the given bytes; equal short words are found by sorting.
+
+    A short word is two numbers: its first eight bytes, and its others below its length.
+    """
+    buffer = np.frombuffer(data + bytes(_SHORT + 9), np.uint8)
     eight = np.ndarray((len(buffer) - 7,), "<u8", buffer, strides=(1,))
     masks = _masks()
-    low = eight[at] & masks[np.minimum(size, 8)]
-    high = eight[at + 8] & masks[np.clip(size - 8, 0, 8)]
+    known = np.minimum(size, _SHORT + 1)
+    low = eight[at] & masks[np.minimum(known, 8)]
+    high = eight[at + 8] & masks[np.clip(known - 8, 0, 7)] | known.astype(np.uint64) << np.uint64(56)
     with np.errstate(over="ignore"):
-        key = low * np.uint64(0x9E3779B97F4A7C15) ^ (high + size.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    _, one, back = np.unique(key, return_index=True, return_inverse=True)
-    odd = (size > _SHORT) | (low != low[one][back]) | (high != high[one][back]) | (size != size[one][back])
-    plain = one[size[one] <= _SHORT]
+        key = low * np.uint64(0x9E3779B97F4A7C15) ^ (high ^ high >> np.uint64(29)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    order = np.argsort(key)
+    key, low, high = key[order], low[order], high[order]
+    is_long = known[order] > _SHORT
+    first = is_long.copy()
+    first[:1] = True
+    first[1:] |= (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    one = np.flatnonzero(first)
+    is_long = is_long[one]
     rows = np.zeros(len(one), np.int64)
-    others = np.flatnonzero(odd)
-    listed = [data[a : a + k] for a, k in zip(at[plain].tolist(), size[plain].tolist(), strict=True)]
-    extra = [data[a : a + k] for a, k in zip(at[others].tolist(), size[others].tolist(), strict=True)]
-    found = table.places(listed + extra)
-    rows[size[one] <= _SHORT] = found[: len(listed)]
-    result = rows[back]
-    result[others] = found[len(listed) :]
+
+    def spelled(some: np.ndarray) -> list[bytes]:
+        where = order[some]
+        return [data[a : a + k] for a, k in zip(at[where].tolist(), size[where].tolist(), strict=True)]
+
+    table.turn()
+    plain = one[~is_long]
+    rows[~is_long] = table.short_places(key[plain], low[plain], high[plain], lambda new: spelled(plain[new]))
+    rows[is_long] = table.long_places(spelled(one[is_long]))
+    result = np.empty(len(order), np.int64)
+    result[order] = np.repeat(rows, np.diff(np.append(one, len(order))))
     return result
 
 

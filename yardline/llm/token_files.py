@@ -26,8 +26,8 @@ from yardline.llm.text import map_batches, materialise, scratch_dir, text_slices
 END_ID = 2
 STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 1_000
-#: Words of a generation here; two hold some 70 MB.
-MAX_WORDS = 200_000
+#: Words of a generation here; two hold some 50 MB.
+MAX_WORDS = 400_000
 #: Code points encoded together, and bytes of text taken from an Arrow batch for them.
 CHARS_AT_ONCE = 1 << 20
 SLICE_BYTES = 1 << 21
@@ -84,13 +84,13 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use_class_runs(runs)
         table, special = library_words(tokenizer)
-        part, start = TaskContext.get().partitionId(), 0
+        part, start, last = TaskContext.get().partitionId(), 0, np.array([end_id], np.int32)
         for batch in (some for whole in batches for some in text_slices(whole, 1, SLICE_BYTES)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            coded = [np.append(ids, np.int32(end_id)) for ids in encode_texts(texts, table, special, CHARS_AT_ONCE)]
-            size = np.fromiter(map(len, coded), np.int64, len(coded))
+            coded = list(encode_texts(texts, table, special, CHARS_AT_ONCE))
+            size = np.fromiter(map(len, coded), np.int64, len(coded)) + 1
             ends = start + np.cumsum(size)
-            flat = np.concatenate([*coded, np.zeros(0, np.int32)])
+            flat = np.concatenate([x for ids in coded for x in (ids, last)])
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -152,7 +152,7 @@ def with_checksums(tokens: DataFrame, *, key: str = "doc_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(3)
-            values = column.values.to_numpy(zero_copy_only=False).astype("<u4")
+            values = column.values.to_numpy(zero_copy_only=False).astype("<i4", copy=False)
             edges = column.offsets.to_numpy()
             sums = [zlib.crc32(values[a:b].data) for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
