@@ -282,6 +282,14 @@ def test_near_duplicates_of_repeated_and_null_keys(spark):
     assert kept == [(None, None), (None, None), (None, third), (1, base), (2, other), (4, ""), (4, "")]
 
 
+def test_near_duplicates_of_null_string_keys(spark):
+    """A null key counts as the empty string, and of equal keys the earlier row stays."""
+    base, other = corpus.prose(73, 100), corpus.prose(74, 100)
+    docs = spark.createDataFrame([("", base), (None, base), ("a", other), (None, other)], "doc_id string, text string").coalesce(1)
+    left = near_dup.drop_near_duplicates(docs)
+    assert sorted(map(tuple, left.collect()), key=str) == [("", base), (None, other)]
+
+
 def test_sketches_do_not_lose_links():
     """Pairs of the least linked similarity lie far above the share of equal sketch bytes that is asked for."""
     from math import comb

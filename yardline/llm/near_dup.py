@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from yardline.llm.components import components
 from yardline.llm.hashing import mix, numbers, shingle_set, word_hashes
@@ -330,7 +331,8 @@ def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "t
     """The documents whose key is their component's smallest: one of each group of near duplicates.
 
     Where keys repeat or are null, each such row is a document of its own, numbered in a written table: it goes only if
-    its own text is linked with one of a smaller key (null before all others), or of an equal key and a smaller number.
+    its own text is linked with one of a smaller key, or of an equal key and a smaller number. A null key counts as 0 or as
+    the empty string here, and comes before all others if keys are neither numbers nor strings.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     odd = docs.groupBy(F.col(f"`{key}`").alias("k")).count().filter("k is null or count > 1")
@@ -338,8 +340,10 @@ def drop_near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "t
         found = near_duplicates(docs, key=key, text=text, **options)
         gone = materialise(found.filter("not kept").select(F.col(f"`{key}`")), "gone")
         return docs.join(gone, key, "left_anti").select(*columns)
-    node = temp_name("node")
-    numbered = docs.withColumn(node, F.struct(F.col(f"`{key}`").alias("k"), F.monotonically_increasing_id().alias("n")))
+    node, kind, place = temp_name("node"), docs.schema[key].dataType, F.col(f"`{key}`")
+    if isinstance(kind, NumericType | StringType):
+        place = F.coalesce(place, F.lit("" if isinstance(kind, StringType) else 0).cast(kind))
+    numbered = docs.withColumn(node, F.struct(place.alias("k"), F.monotonically_increasing_id().alias("n")))
     numbered = materialise(numbered, "numbered")
     found = near_duplicates(numbered, key=node, text=text, **options)
     gone = materialise(found.filter("not kept").select(node), "gone")
